@@ -34,21 +34,23 @@ class CachedTokenizer:
     """Ids of whole texts, encoding each distinct white-space-free chunk once.
 
     Valid for tokenizers that drop white space and never join across it. Only chunks
-    that are new are encoded; the cache is emptied when it holds `limit` of them.
+    that are new are encoded; of the others the two latest generations of up to
+    `limit` are remembered.
     """
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 200_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.cache = Tokenizer.from_file(path), limit, {}
+        self.tokenizer, self.limit, self.cache, self.older = Tokenizer.from_file(path), limit, {}, {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         parts = [_SPACE.split(t) for t in texts]
+        if len(self.cache) > self.limit:
+            self.cache, self.older = {}, self.cache
         fresh = set(chain.from_iterable(parts)).difference(self.cache)
-        if len(self.cache) + len(fresh) > self.limit:
-            self.cache.clear()
-            fresh = set(chain.from_iterable(parts))
-        fresh = list(fresh)
+        known = fresh.intersection(self.older)
+        self.cache.update((w, self.older[w]) for w in known)
+        fresh = list(fresh - known)
         self.cache.update(zip(fresh, self._ids(fresh)))
         find = self.cache.__getitem__
         return [np.frombuffer(b"".join(map(find, p)), "<u4") for p in parts]

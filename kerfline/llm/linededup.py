@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import blocks
+
 _OWN = "__line_dedup_"
 
 
@@ -31,9 +33,15 @@ def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio
     return common.groupBy(held["host"]).agg(F.collect_list("line").alias("lines"))
 
 
-def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = 0.05, min_pages: int = 5, counts: bool = False) -> DataFrame:
-    """The rows with boilerplate lines dropped from text; counts adds n_lines and n_dropped."""
-    common = boilerplate(docs, host, text, ratio, min_pages).toDF(_OWN + "host", _OWN + "lines")
+def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = 0.05, min_pages: int = 5, counts: bool = False, broadcast_values: int = 1_000_000) -> DataFrame:
+    """The rows with boilerplate lines dropped from text; counts adds n_lines and n_dropped.
+
+    The boilerplate lists are broadcast only if they hold at most broadcast_values values.
+    """
+    common = blocks.cut(boilerplate(docs, host, text, ratio, min_pages)).toDF(_OWN + "host", _OWN + "lines")
+    size = common.agg(F.sum(F.size(_OWN + "lines") + F.coalesce(F.octet_length(_OWN + "host"), F.lit(0)))).first()[0] or 0
+    if size <= broadcast_values:  # else the rows are shuffled by host, and Spark splits a hot one
+        common = F.broadcast(common)
     joined = docs.join(common, docs[host].eqNullSafe(common[_OWN + "host"]), "left")
     lines = F.split(docs[text], "\n")
     kept = F.when(common[_OWN + "lines"].isNull(), docs[text]).otherwise(F.array_join(F.filter(lines, lambda x: ~F.coalesce(F.array_contains(common[_OWN + "lines"], F.xxhash64(x)), F.lit(False))), "\n"))

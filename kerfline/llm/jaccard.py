@@ -179,15 +179,16 @@ def _links(sets: DataFrame, percent: int, found: int) -> DataFrame | None:
         for batch in batches:
             for t in batch.column(0).to_pylist():
                 x = np.frombuffer(t, np.uint64)
-                seen += 0 if not len(x) else np.bincount((x & mask).astype(np.int64), minlength=cells) if len(x) > cells // 8 else 0
-                if len(x) <= cells // 8:
-                    np.add.at(seen, (x & mask).astype(np.int64), 1)
+                np.add.at(seen, (x & mask).astype(np.int64), 1)
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], names=["cell", "n"])
 
-    counts = sets.select("tokens").mapInArrow(sketch, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).selectExpr("cast(cell AS int) cell", "cast(ceil(log2(n)) AS tinyint) size").toPandas()
+    counts = blocks.cut(sets.select("tokens").mapInArrow(sketch, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")))
+    mean = max(1.0, counts.agg(F.sum("n")).first()[0] / cells)
+    # only cells far above the mean hold frequent tokens; their number is under a quarter of the cells
+    frequent = counts.where(F.col("n") > 4 * mean).selectExpr("cast(cell AS int) cell", f"cast(ceil(log2(n / {mean})) AS tinyint) size").toPandas()
     level = np.zeros(cells, np.uint8)
-    level[counts["cell"].to_numpy()] = counts["size"].to_numpy()
+    level[frequent["cell"].to_numpy()] = frequent["size"].to_numpy()
     shared = sets.sparkSession.sparkContext.broadcast(level)  # at most 16 MB
 
     def prefixes(batches):

@@ -6,8 +6,8 @@ meet. A pair has to meet so under three orders before it is verified:
 
 * B, a hash of the token. Longer prefixes are used, in which a set must meet others in
   several tokens. Sets that do not are done: they are linked with nothing.
-* A, rare tokens first by a counting sketch of the sets that are left, ties by a second
-  hash. Its prefixes give the candidates.
+* A, rare tokens first, by their frequency among the sets that are left. Its prefixes
+  give the candidates; a set with too many tokens of its own has none.
 * C, a third hash, and B again, for the pair itself, just before verification.
 
 Equal sets are one node from the start. Candidates of a token are not all pairs: each set
@@ -19,7 +19,7 @@ the components of the full link graph, not all its links.
 Defined cases: null texts and texts without words have no shingles and stand alone; texts
 of fewer words than a shingle are one shingle; repeated rows get one component; a null id
 never is a component's least id unless all are null; other columns are not looked at.
-Tokens and sets are known by 64-bit hashes.
+Tokens and sets are known by 64-bit hashes; before verification 32 bits of a token do.
 """
 
 from __future__ import annotations
@@ -87,14 +87,16 @@ def least_overlap(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-n * percent // 100)
 
 
-def prefix_of(tokens: np.ndarray, order: str, size: int, rank: np.ndarray | None = None) -> np.ndarray:
-    """The first `size` tokens of one set under an order."""
+def prefix_of(tokens: np.ndarray, order: str, size: int) -> np.ndarray:
+    """The first `size` tokens of one set under a hashed order."""
     if size >= len(tokens):
         return tokens
-    h = blocks.mix64(tokens ^ _SALTS[order])
-    if rank is None:
-        return tokens[np.argpartition(h, size - 1)[:size]]
-    return tokens[np.lexsort((h, rank))[:size]]
+    return tokens[np.argpartition(blocks.mix64(tokens ^ _SALTS[order]), size - 1)[:size]]
+
+
+def short(tokens: np.ndarray) -> np.ndarray:
+    """32 bits of each token: enough to meet by, as different tokens that meet only cost a verification."""
+    return (tokens >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
@@ -122,9 +124,9 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85, text: st
             order = np.lexsort((blocks.mix64(x ^ _SALTS["B"]), np.repeat(np.arange(len(size)), size)))
             place = np.arange(len(x)) - np.repeat(first[:-1], size)
             pick = place < np.repeat(want, size)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(nodes_of(first, x), size)[pick]), pa.array(x[order][pick].view(np.int64))], names=["node", "token"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(nodes_of(first, x), size)[pick]), pa.array(short(x[order][pick]))], names=["node", "token"])
 
-    tokens = docs.mapInArrow(first_tokens, "node long, token long")
+    tokens = docs.mapInArrow(first_tokens, "node long, token int")
     met = tokens.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1")
     hits = tokens.join(met, "token").groupBy("node", "rows").agg(F.count("*").alias("hits")).join(nodes, "node").where("rows > copies")
     need = 1 + F.floor(F.ceil(F.col("n") * percent / 100) * slack / 100)  # the other set may be smaller, and so its longer prefix
@@ -169,43 +171,23 @@ def _links(sets: DataFrame, percent: int, found: int) -> DataFrame | None:
     """Links that join all the components of sets(node, tokens)."""
     if not found:
         return None
-    cells = 1 << 20
-    while cells < 1 << 24 and cells < found * 64:
-        cells *= 2
-    mask = np.uint64(cells - 1)
 
-    def sketch(batches):
-        seen = np.zeros(cells, np.int64)
-        for batch in batches:
-            for t in batch.column(0).to_pylist():
-                x = np.frombuffer(t, np.uint64)
-                np.add.at(seen, (x & mask).astype(np.int64), 1)
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], names=["cell", "n"])
-
-    counts = blocks.cut(sets.select("tokens").mapInArrow(sketch, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")))
-    mean = max(1.0, counts.agg(F.sum("n")).first()[0] / cells)
-    # only cells far above the mean hold frequent tokens; their number is under a quarter of the cells
-    frequent = counts.where(F.col("n") > 4 * mean).selectExpr("cast(cell AS int) cell", f"cast(ceil(log2(n / {mean})) AS tinyint) size").toPandas()
-    level = np.zeros(cells, np.uint8)
-    level[frequent["cell"].to_numpy()] = frequent["size"].to_numpy()
-    shared = sets.sparkSession.sparkContext.broadcast(level)  # at most 16 MB
-
-    def prefixes(batches):
+    def exploded(batches):
         for batch in batches:
-            nodes, tokens, sizes = [], [], []
-            for node, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                x = np.frombuffer(t, np.uint64)
-                p = prefix_of(x, "A", int(len(x) - least_overlap(np.int64(len(x)), percent) + 1), shared.value[(x & mask).astype(np.int64)])
-                nodes.append(np.full(len(p), node))
-                tokens.append(p.view(np.int64))
-                sizes.append(np.full(len(p), len(x)))
-            if nodes:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (nodes, tokens, sizes)], names=["node", "token", "n"])
-
-    posted = sets.mapInArrow(prefixes, "node long, token long, n long")
-    alone = posted.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token")
-    posted = blocks.cut(posted.join(alone, "token"))
+            parts = [short(np.frombuffer(t, np.uint64)) for t in batch.column(1).to_pylist()]
+            for at in range(0, len(parts), 500):
+                some = parts[at : at + 500]
+                sizes = [len(p) for p in some]
+                node = np.repeat(batch.column(0).to_numpy()[at : at + 500], sizes)
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.concatenate(some)), pa.array(np.repeat(sizes, sizes).astype(np.int32))], names=["node", "token", "n"])
+
+    every = sets.mapInArrow(exploded, "node long, token int, n int")
+    common = every.groupBy("token").agg(F.count("*").cast("int").alias("df")).where("df > 1")
+    # the tokens of its own come first in a set's prefix; what is left of it goes to the rarest others
+    listed = every.join(common, "token").groupBy("node", "n").agg(F.collect_list(F.struct("df", "token")).alias("shared"))
+    more = F.size("shared") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
+    posted = listed.where(more > 0).select("node", F.col("n").cast("long").alias("n"), F.explode(F.slice(F.array_sort("shared"), F.lit(1), more)).alias("t")).select(F.col("t.token").alias("token"), "node", "n")
+    posted = blocks.cut(posted)
     links, labels = None, None
     for leaders in (1, 8, 64, None):
         rows = posted if labels is None else posted.join(labels, "node", "left").select("token", "node", "n", F.coalesce("label", "node").alias("label"))

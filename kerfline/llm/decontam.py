@@ -101,30 +101,30 @@ class BenchmarkIndex:
         at, k = (at[self.grams[k] == g[at]], k[self.grams[k] == g[at]]) if len(at) else (none, none)
         doc = np.searchsorted(lo, at, side="right") - 1
         inside = at + Q <= hi[doc] if len(at) else np.zeros(0, bool)
-        at, k = at[inside], k[inside]
+        at, k, doc = at[inside], k[inside], doc[inside]
         if not len(at):
             return none, none, none
         n = self.count[k]
         which = np.repeat(self.first[k], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         item, diagonal = self.item[which], np.repeat(at, n) - self.place[which]
         step = self.budget[item] + 1
-        band = (diagonal + (1 << 20)) // step  # texts of a block begin at 0: never negative for items under a MB
-        key = np.concatenate((item << 40 | band, item << 40 | (band - 1)))  # bands of two steps, one step apart
-        kinds, count = np.unique(key, return_counts=True)
-        item = kinds >> 40
+        band = (diagonal + (1 << 20)) // step  # texts of a block begin at 0: not negative for items under a MB
+        owner = np.repeat(doc, n)
+        item, band, owner = np.concatenate((item, item)), np.concatenate((band, band - 1)), np.concatenate((owner, owner))  # bands of two steps, one step apart
+        order = np.lexsort((owner, band, item))
+        item, band, owner = item[order], band[order], owner[order]
+        first = np.flatnonzero(np.concatenate(([True], (np.diff(item) != 0) | (np.diff(band) != 0) | (np.diff(owner) != 0))))
+        count = np.diff(np.concatenate((first, [len(item)])))
+        item, band, owner = item[first], band[first], owner[first]
         good = count >= self.need[item]
-        item, band = item[good], (kinds & ((1 << 40) - 1))[good]
+        item, band, owner = item[good], band[good], owner[good]
         low = band * (self.budget[item] + 1) - (1 << 20)  # the first diagonal of the band
         found = []
         for i in np.unique(item):
-            own = low[item == i]
-            m, k = len(self.items[i]), int(self.budget[i])
-            # the text whose bytes the band's middle crosses; a band may touch two texts
-            for side in (own, own + 2 * (k + 1) + m - 1):
-                of = np.clip(np.searchsorted(lo, np.clip(side, 0, max(len(data) - 1, 0)), side="right") - 1, 0, len(lo) - 1)
-                edits = banded(self.items[i], data, own - k, lo[of], hi[of], 2 * (k + 1) + 2 * k)
-                ok = edits <= k
-                found.append(np.column_stack([of[ok], np.full(int(ok.sum()), i), edits[ok]]))
+            own, of, k = low[item == i], owner[item == i], int(self.budget[i])
+            edits = banded(self.items[i], data, own - k, lo[of], hi[of], 2 * (k + 1) + 2 * k)
+            ok = edits <= k
+            found.append(np.column_stack([of[ok], np.full(int(ok.sum()), i), edits[ok]]))
         hits = np.concatenate(found) if found else np.zeros((0, 3), np.int64)
         hits = hits[np.lexsort((hits[:, 2], hits[:, 1], hits[:, 0]))]
         new = np.ones(len(hits), bool)

@@ -12,9 +12,11 @@ meet. A pair has to meet so under three orders before it is verified:
 
 Equal sets are one node from the start. Candidates of a token are not all pairs: each set
 is verified against a leader first and linked sets merge into components; only tokens
-that still join different components go on, with more leaders each time and at last with
-all their sets, so that every link between different components is found. The result is
-the components of the full link graph, not all its links.
+that still join different components go on. Their sets travel to cells of bounded size,
+first one block of each list against all of it, then the other blocks, and a cell applies
+the filters to its sets and gives only the links that join components in it. So every
+link between different components is found, and pairs are never rows of their own. The
+result is the components of the full link graph, not all its links.
 
 Defined cases: null texts and texts without words have no shingles and stand alone; texts
 of fewer words than a shingle are one shingle; repeated rows get one component; a null id
@@ -108,7 +110,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, n long")
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85, text: str = "text", doc_id: str = "doc_id", slack: int = 5, broadcast_rows: int = 1_000_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85, text: str = "text", doc_id: str = "doc_id", slack: int = 5, broadcast_rows: int = 1_000_000, cell_tokens: int = 300_000) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row."""
     docs = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -155,11 +157,10 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85, text: st
             yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in fresh], pa.int64()), pa.array([raw[8 * first[i] : 8 * first[i + 1]] for i in fresh], pa.binary())], names=["node", "tokens"])
 
     sets = blocks.cut(rows.mapInArrow(listed, "node long, tokens binary").groupBy("node").agg(F.first("tokens").alias("tokens")))
-    links = _links(sets, percent, found)
-    if links is None:
+    known = _linked(sets, percent, found, cell_tokens)
+    if known is None:
         labels = nodes.select("node", F.col("node").alias("label"))
     else:
-        known = components(links)
         labels = nodes.select("node").join(known, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
     smallest = nodes.select("node", "least").join(labels, "node")
     smallest = smallest.join(smallest.groupBy("label").agg(F.min("least").alias("component")), "label").select("node", "component")
@@ -167,8 +168,8 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85, text: st
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).cast(kind).alias("component_id"))
 
 
-def _links(sets: DataFrame, percent: int, found: int) -> DataFrame | None:
-    """Links that join all the components of sets(node, tokens)."""
+def _linked(sets: DataFrame, percent: int, found: int, cell_tokens: int) -> DataFrame | None:
+    """(node, label) of those of sets(node, tokens) that link with others; None if none do."""
     if not found:
         return None
 
@@ -189,32 +190,119 @@ def _links(sets: DataFrame, percent: int, found: int) -> DataFrame | None:
     posted = listed.where(more > 0).select("node", F.col("n").cast("long").alias("n"), F.explode(F.slice(F.array_sort("shared"), F.lit(1), more)).alias("t")).select(F.col("t.token").alias("token"), "node", "n")
     posted = blocks.cut(posted)
     links, labels = None, None
-    for leaders in (1, 8, 64, None):
-        rows = posted if labels is None else posted.join(labels, "node", "left").select("token", "node", "n", F.coalesce("label", "node").alias("label"))
-        if labels is None:
-            rows = rows.withColumn("label", F.col("node"))
-        lists = rows.groupBy("token").agg(F.count("*").alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct("node", "n", "label")).alias("lead")).where("lo <> hi")
-        if leaders == 1:
-            met = rows.join(lists.select("token", "lead"), "token").select("node", "n", "label", F.col("lead.node").alias("other"), F.col("lead.n").alias("other_n"), F.col("lead.label").alias("other_label"))
-        else:
-            active = rows.join(lists.select("token", "m"), "token")
-            chance = F.pmod(F.xxhash64("node", F.lit(leaders or 0)), F.lit(1_000_000)) / 1_000_000
-            first = (active if leaders is None else active.where(chance < F.lit(leaders) / F.col("m"))).select("token", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("label").alias("other_label"))
-            met = active.join(first, "token")
-        pairs = met.where("label <> other_label").where(F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * percent)
-        if leaders == 1:  # the leader that a set meets most often
-            pairs = pairs.groupBy("node", "other").agg(F.count("*").alias("c")).groupBy("node").agg(F.max_by("other", F.struct("c", "other")).alias("other")).select("node", "other")
-        else:
-            pairs = pairs.select(F.greatest("node", "other").alias("node"), F.least("node", "other").alias("other")).distinct()
-        pairs = blocks.cut(pairs)
-        if pairs.limit(1).count() == 0:
-            if leaders == 1:
-                break
-            continue
-        new = blocks.cut(verify(pairs, sets, percent))
-        links = new if links is None else links.union(new)
-        labels = components(links)
-    return links
+    for meeting in (_leaders, _first_cells, _other_cells):
+        rows = posted.withColumn("label", F.col("node")) if labels is None else posted.join(labels, "node", "left").select("token", "node", "n", F.coalesce("label", "node").alias("label"))
+        new = meeting(rows, sets, percent, cell_tokens)
+        if new is not None:
+            links = new if links is None else links.union(new)
+            labels = components(links)
+    return labels
+
+
+def _leaders(rows: DataFrame, sets: DataFrame, percent: int, cell_tokens: int) -> DataFrame | None:
+    """Links of each set with the leader that it meets in most tokens."""
+    lists = rows.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct("node", "n", "label")).alias("lead")).where("lo <> hi")
+    met = rows.join(lists.select("token", "lead"), "token").select("node", "n", "label", F.col("lead.node").alias("other"), F.col("lead.n").alias("other_n"), F.col("lead.label").alias("other_label"))
+    pairs = met.where("label <> other_label").where(F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * percent)
+    pairs = pairs.groupBy("node", "other").agg(F.count("*").alias("c")).groupBy("node").agg(F.max_by("other", F.struct("c", "other")).alias("other"))
+    return _some(verify(blocks.cut(pairs), sets, percent))
+
+
+def _some(links: DataFrame) -> DataFrame | None:
+    links = blocks.cut(links)
+    return links if links.limit(1).count() else None
+
+
+def _first_cells(rows: DataFrame, sets: DataFrame, percent: int, cell_tokens: int) -> DataFrame | None:
+    """Links inside the short lists, and between the first block of each long list and the whole of it.
+
+    A list whose sets hold more than cell_tokens tokens is split into blocks; shorter
+    lists share cells of about that size. Sets travel to cells, not pairs.
+    """
+    lists = _open_lists(rows, cell_tokens).where("lo <> hi")
+    weight = lists.where("k = 1").agg(F.sum("w")).first()[0] or 0
+    active = rows.join(lists.select("token", "k"), "token")
+    block = F.pmod(F.xxhash64("node", F.lit(5)), F.col("k")).cast("int")
+    short_cell = F.pmod(F.xxhash64("token"), F.lit(weight // cell_tokens + 1))
+    where = F.when(block == 0, F.sequence(F.lit(0), F.col("k") - 1)).otherwise(F.array(block))
+    cell = F.when(F.col("k") == 1, short_cell).otherwise(F.col("token").cast("long"))
+    placed = active.select(cell.alias("cell"), F.when(F.col("k") == 1, -1).otherwise(0).alias("i"), F.explode(where).alias("j"), block.alias("block"), "node", "label", "token")
+    return _some(_compare(placed, sets, percent))
+
+
+def _other_cells(rows: DataFrame, sets: DataFrame, percent: int, cell_tokens: int) -> DataFrame | None:
+    """Links between the other blocks of the long lists that still join different components."""
+    lists = _open_lists(rows, cell_tokens).where("lo <> hi and k > 1")
+    active = rows.join(lists.select("token", "k"), "token")
+    block = F.pmod(F.xxhash64("node", F.lit(5)), F.col("k")).cast("int")
+    placed = active.withColumn("block", block).where("block > 0").withColumn("to", F.explode(F.sequence(F.lit(1), F.col("k") - 1)))
+    placed = placed.select(F.col("token").cast("long").alias("cell"), F.least("block", "to").alias("i"), F.greatest("block", "to").alias("j"), "block", "node", "label", "token")
+    return _some(_compare(placed, sets, percent))
+
+
+def _open_lists(rows: DataFrame, cell_tokens: int) -> DataFrame:
+    return rows.groupBy("token").agg(F.sum("n").alias("w"), F.min("label").alias("lo"), F.max("label").alias("hi")).withColumn("k", F.ceil(F.col("w") / cell_tokens).cast("int"))
+
+
+class _Postings:
+    """Which of some sets hold each token."""
+
+    def __init__(self, lists: list[np.ndarray]):
+        sizes = np.array([len(x) for x in lists], np.int64)
+        flat = np.concatenate(lists)
+        owner = np.repeat(np.arange(len(lists)), sizes)
+        order = np.argsort(flat, kind="stable")
+        new = np.concatenate(([True], np.diff(flat[order]) != 0))
+        kind = np.empty(len(flat), np.int64)
+        kind[order] = np.cumsum(new) - 1
+        self.owner, self.first = owner[order], np.append(np.flatnonzero(new), len(flat))
+        self.kind, self.at, self.n = kind, np.append(0, np.cumsum(sizes)), len(lists)
+
+    def shared(self, i: int) -> np.ndarray:
+        """How many tokens each set shares with set i."""
+        kinds = self.kind[self.at[i] : self.at[i + 1]]
+        begin, size = self.first[kinds], self.first[kinds + 1] - self.first[kinds]
+        place = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return np.bincount(self.owner[place], minlength=self.n)
+
+
+def _compare(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (x, y) that join the components inside each cell of placed(cell, i, j, block, node, label, token).
+
+    Sets of one cell are candidates if they share a token that brought them there and,
+    under each of the other two orders, one in their prefixes. Cells (i, j) of two
+    blocks compare one with the other.
+    """
+
+    def test(pdf: pd.DataFrame) -> pd.DataFrame:
+        node, block = pdf["node"].to_numpy(), pdf["block"].to_numpy()
+        cross = pdf["i"].iloc[0] >= 0 and pdf["i"].iloc[0] != pdf["j"].iloc[0]
+        component = np.unique(pdf["label"].to_numpy(), return_inverse=True)[1]
+        out = []
+        if component.any():
+            tokens = [np.frombuffer(t, np.uint64) for t in pdf["tokens"]]
+            n = np.array([len(t) for t in tokens])
+            orders = [_Postings([np.asarray(v) for v in pdf["via"]])] + [_Postings([prefix_of(t, o, _size(t, percent)) for t in tokens]) for o in ("B", "C")]
+            every = _Postings(tokens)
+            for i in range(len(node)):
+                hit = (component != component[i]) & (np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent)
+                hit[:i] = False
+                if cross:
+                    hit &= block != block[i]
+                for postings in orders:
+                    if hit.any():
+                        hit &= postings.shared(i) > 0
+                found = np.flatnonzero(hit)
+                if len(found):
+                    both = every.shared(i)[found]
+                    for k in found[100 * both >= percent * (n[found] + n[i] - both)]:
+                        if component[k] != component[i]:
+                            component[component == component[k]] = component[i]
+                            out.append((node[i], node[k]))
+        return pd.DataFrame(out, columns=["x", "y"], dtype=np.int64)
+
+    came = placed.groupBy("cell", "i", "j", "block", "node", "label").agg(F.collect_set("token").alias("via"))
+    return came.join(sets, "node").groupBy("cell", "i", "j").applyInPandas(test, "x long, y long")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int, group: int = 500) -> DataFrame:

@@ -72,10 +72,31 @@ def test_jaccard(docs, rows, nothing):
                     least[a], changed = least[b], True
     assert got == {(i, len(s)): least[s] if s else i for i, s in sets}
     assert jaccard.near_duplicates(nothing).count() == 0
+    split = {(r.doc_id, r.n_shingles): r.component_id for r in jaccard.near_duplicates(docs, 4, 85, cell_tokens=100).collect()}
+    assert split == got
     kept = [r.doc_id for r in jaccard.keep_first(docs).select("doc_id").collect()]
     assert len(kept) == len(set(kept)) and 20 not in kept and {0, 24, 25, 26} <= set(kept)
 
 
+@pytest.mark.parametrize("cell_tokens", [300_000, 400])
+def test_jaccard_chained_group(spark, cell_tokens):
+    """Copies of one text with random edits: pairs on both sides of the limit, and chains."""
+    rng = random.Random(9)
+    base, made = words(rng, 100).split(), []
+    for i in range(60):
+        text = list(base)
+        for at in rng.sample(range(100), rng.randint(0, 4)):
+            text[at] = words(rng, 1)
+        made.append((i, " ".join(text)))
+    sets = [frozenset(tuple(t.split()[k : k + 4]) for k in range(97)) for _, t in made]
+    least = list(range(60))
+    for _ in range(60):
+        for a in range(60):
+            least[a] = min(least[b] for b in range(60) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]))
+    found = jaccard.near_duplicates(spark.createDataFrame(made, "doc_id long, text string"), cell_tokens=cell_tokens).collect()
+    assert {r.doc_id: r.component_id for r in found} == dict(enumerate(least))
+
+
 def test_spans(docs, rows, spark, nothing):
     made = [(1, "A one. B two. C three. D four."), (2, "X. A one.  B two.\nC three. Y."), (3, None), (3, ""), (2, "X. A one.  B two.\nC three. Y.")]
     got = spandedup.remove_repeats(spark.createDataFrame(made, "doc_id long, text string")).collect()

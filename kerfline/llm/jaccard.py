@@ -13,7 +13,7 @@ meet. A pair has to meet so under three orders before it is verified:
 Equal sets are one node from the start. Candidates of a token are not all pairs: each set
 is verified against a leader first and linked sets merge into components; only tokens
 that still join different components go on. Their sets travel to cells of bounded size,
-first one block of each list against all of it, then the other blocks, and a cell applies
+first one block of each group of tokens against all of it, then the other blocks, and a cell applies
 the filters to its sets and gives only the links that join components in it. So every
 link between different components is found, and pairs are never rows of their own. The
 result is the components of the full link graph, not all its links.
@@ -214,34 +214,35 @@ def _some(links: DataFrame) -> DataFrame | None:
 
 
 def _first_cells(rows: DataFrame, sets: DataFrame, percent: int, cell_tokens: int) -> DataFrame | None:
-    """Links inside the short lists, and between the first block of each long list and the whole of it.
+    """Links inside the small groups, and between the first block of each large group and the whole of it.
 
-    A list whose sets hold more than cell_tokens tokens is split into blocks; shorter
-    lists share cells of about that size. Sets travel to cells, not pairs.
+    Tokens with the same least set form a group. One whose sets hold more than cell_tokens
+    tokens is split into blocks; smaller groups share cells of about that size. Sets
+    travel to cells, not pairs.
     """
-    lists = _open_lists(rows, cell_tokens).where("lo <> hi")
-    weight = lists.where("k = 1").agg(F.sum("w")).first()[0] or 0
-    active = rows.join(lists.select("token", "k"), "token")
-    block = F.pmod(F.xxhash64("node", F.lit(5)), F.col("k")).cast("int")
-    short_cell = F.pmod(F.xxhash64("token"), F.lit(weight // cell_tokens + 1))
-    where = F.when(block == 0, F.sequence(F.lit(0), F.col("k") - 1)).otherwise(F.array(block))
-    cell = F.when(F.col("k") == 1, short_cell).otherwise(F.col("token").cast("long"))
-    placed = active.select(cell.alias("cell"), F.when(F.col("k") == 1, -1).otherwise(0).alias("i"), F.explode(where).alias("j"), block.alias("block"), "node", "label", "token")
+    active = _groups(rows, cell_tokens)
+    weight = active.where("k = 1").agg(F.sum("n")).first()[0] or 0
+    where = F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("k") - 1)).otherwise(F.array("block"))
+    cell = F.when(F.col("k") == 1, F.pmod(F.xxhash64("lead"), F.lit(weight // cell_tokens + 1))).otherwise(F.col("lead"))
+    placed = active.select(cell.alias("cell"), F.when(F.col("k") == 1, -1).otherwise(0).alias("i"), F.explode(where).alias("j"), "block", "node", "label", "via")
     return _some(_compare(placed, sets, percent))
 
 
 def _other_cells(rows: DataFrame, sets: DataFrame, percent: int, cell_tokens: int) -> DataFrame | None:
-    """Links between the other blocks of the long lists that still join different components."""
-    lists = _open_lists(rows, cell_tokens).where("lo <> hi and k > 1")
-    active = rows.join(lists.select("token", "k"), "token")
-    block = F.pmod(F.xxhash64("node", F.lit(5)), F.col("k")).cast("int")
-    placed = active.withColumn("block", block).where("block > 0").withColumn("to", F.explode(F.sequence(F.lit(1), F.col("k") - 1)))
-    placed = placed.select(F.col("token").cast("long").alias("cell"), F.least("block", "to").alias("i"), F.greatest("block", "to").alias("j"), "block", "node", "label", "token")
+    """Links between the other blocks of the large groups that still join different components."""
+    placed = _groups(rows, cell_tokens).where("block > 0").withColumn("to", F.explode(F.sequence(F.lit(1), F.col("k") - 1)))
+    placed = placed.select(F.col("lead").alias("cell"), F.least("block", "to").alias("i"), F.greatest("block", "to").alias("j"), "block", "node", "label", "via")
     return _some(_compare(placed, sets, percent))
 
 
-def _open_lists(rows: DataFrame, cell_tokens: int) -> DataFrame:
-    return rows.groupBy("token").agg(F.sum("n").alias("w"), F.min("label").alias("lo"), F.max("label").alias("hi")).withColumn("k", F.ceil(F.col("w") / cell_tokens).cast("int"))
+def _groups(rows: DataFrame, cell_tokens: int) -> DataFrame:
+    """The sets of each group with the tokens that still join different components; k and block do not depend on the labels."""
+    lists = rows.groupBy("token").agg(F.min("node").alias("lead"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m")).where("m > 1")
+    still = F.collect_set(F.when(F.col("lo") != F.col("hi"), F.col("token")))
+    members = blocks.cut(rows.join(lists, "token").groupBy("lead", "node", "n", "label").agg(still.alias("via")))
+    sizes = members.groupBy("lead").agg(F.ceil(F.sum("n") / cell_tokens).cast("int").alias("k"))
+    active = members.where(F.size("via") > 0).join(sizes, "lead")
+    return active.withColumn("block", F.pmod(F.xxhash64("node", F.lit(5)), F.col("k")).cast("int"))
 
 
 class _Postings:
@@ -267,7 +268,7 @@ class _Postings:
 
 
 def _compare(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (x, y) that join the components inside each cell of placed(cell, i, j, block, node, label, token).
+    """Links (x, y) that join the components inside each cell of placed(cell, i, j, block, node, label, via).
 
     Sets of one cell are candidates if they share a token that brought them there and,
     under each of the other two orders, one in their prefixes. Cells (i, j) of two
@@ -301,7 +302,7 @@ def _compare(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                             out.append((node[i], node[k]))
         return pd.DataFrame(out, columns=["x", "y"], dtype=np.int64)
 
-    came = placed.groupBy("cell", "i", "j", "block", "node", "label").agg(F.collect_set("token").alias("via"))
+    came = placed.groupBy("cell", "i", "j", "block", "node", "label").agg(F.flatten(F.collect_list("via")).alias("via"))
     return came.join(sets, "node").groupBy("cell", "i", "j").applyInPandas(test, "x long, y long")
 
 

@@ -12,9 +12,9 @@ columns are not looked at; an empty table gives no pieces.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -26,37 +26,62 @@ from . import blocks
 
 CLOSING = 1
 #: White space as the tokenizer's own patterns define it: it always parts words and is never a token.
-_SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
+_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Letters that stay one letter in lower case and in composed form.
+_LETTER = "A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\u012f\\u0131-\\u017f\\u0410-\\u044f"
+#: A chunk: a run of letters before white space or an ASCII mark, else all up to white space.
+_CHUNK = re.compile(f"[{_LETTER}]++(?![^{_SPACE}!-/:-@\\[-`{{-~])|[^{_SPACE}]+")
+_WORD = re.compile(f"[{_LETTER}]+")
 _tokenizers: dict[str, "CachedTokenizer"] = {}
 
 
 class CachedTokenizer:
-    """Ids of whole texts, encoding each distinct white-space-free chunk once.
+    """Ids of whole texts, encoding each distinct chunk once.
 
-    Valid for tokenizers that drop white space and never join across it. Only chunks
-    that are new are encoded; of the others the two latest generations of up to
-    `limit` are remembered.
+    Valid for tokenizers that drop white space, never join across it, and make one word
+    of a run of letters. Only chunks that are new are encoded; once more than
+    `limit` are remembered, they are forgotten. Where ids tell where a word ends, chunks
+    of letters are encoded many at a time and told apart by that.
     """
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 500_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.cache, self.older = Tokenizer.from_file(path), limit, {}, {}
+        self.tokenizer, self.limit, self.cache = Tokenizer.from_file(path), limit, {}
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [_SPACE.split(t) for t in texts]
+        parts = [_CHUNK.findall(t) for t in texts]
         if len(self.cache) > self.limit:
-            self.cache, self.older = {}, self.cache
-        fresh = set(chain.from_iterable(parts)).difference(self.cache)
-        known = fresh.intersection(self.older)
-        self.cache.update((w, self.older[w]) for w in known)
-        fresh = list(fresh - known)
-        self.cache.update(zip(fresh, self._ids(fresh)))
-        find = self.cache.__getitem__
-        return [np.frombuffer(b"".join(map(find, p)), "<u4") for p in parts]
-
-    def _ids(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+            self.cache = {}
+        ids = [list(map(self.cache.get, p)) for p in parts]
+        holes = [[k for k, v in enumerate(found) if v is None] for found in ids]
+        fresh = {p[k] for p, hole in zip(parts, holes) for k in hole}
+        words = [w for w in fresh if _WORD.fullmatch(w)] if self.ends.any() else []
+        self.cache.update(zip(words, self._joined(words)))
+        others = list(fresh.difference(words))
+        self.cache.update(zip(others, (np.array(e.ids, "<u4").tobytes() for e in self._encodings(others))))
+        for p, found, hole in zip(parts, ids, holes):
+            for k in hole:
+                found[k] = self.cache[p[k]]
+        return [np.frombuffer(b"".join(found), "<u4") for found in ids]
+
+    def _encodings(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+
+    def _joined(self, words: list[str], at_once: int = 64) -> list[bytes]:
+        """Ids of each word, from texts of at_once words."""
+        out = []
+        for e in self._encodings([" ".join(words[k : k + at_once]) for k in range(0, len(words), at_once)]):
+            ids = np.array(e.ids, "<u4")
+            raw, ends = ids.tobytes(), (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            out += [raw[i:j] for i, j in zip([0, *ends], ends)]
+        if len(out) != len(words):
+            raise ValueError("the tokenizer does not make one word of a run of letters")
+        return out
 
 
 def tokenizer(path: str) -> CachedTokenizer:

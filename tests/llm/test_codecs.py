@@ -66,7 +66,7 @@ def test_first_fit_decreasing_is_first_fit():
 def test_cached_ids_are_the_tokenizers():
     from tokenizers import Tokenizer
 
-    texts = ["", "It's  42 DAYS in Zürich, don't!\n\n", "a\x1cb\x85c <|endoftext|>x", "É́ ΣΑΣ 12.5%", "word " * 300]
+    texts = ["", "It's  42 DAYS in Zürich, don't!\n\n", "a\x1cb\x85c <|endoftext|>x", "É́ ΣΑΣ 12.5%", "word " * 300, "x<|endoftext|>. (a) \"b\" c'S d***e İi. ſ, ŉ; e\u0301, é,\u0301", "".join(random.Random(5).choice("abZ09 .,'-_<|\n\xa0éßİ\u0301ΣЙ") for _ in range(20000))]
     got = packing.CachedTokenizer(token_path(), limit=3).encode(texts)
     plain = Tokenizer.from_file(token_path())
     assert [g.tolist() for g in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]

@@ -8,6 +8,8 @@ text, not on the number of rows.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import uuid
 
 import numpy as np
@@ -99,6 +101,16 @@ def sliced(batches, column: str, limit: int | None = None):
             upto = max(at + 1, int(np.searchsorted(done, before + limit, side="right")))
             yield batch.slice(at, upto - at)
             at = upto
+    release()
+
+
+def release() -> None:
+    """Gives freed memory back, as a worker stays on for later tasks of other stages."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
 
 
 def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -135,28 +135,21 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85, text: st
     left = hits.groupBy("node", "n", "copies").agg(F.sum("hits").alias("hits")).where(F.col("hits") >= need * F.col("copies")).select("node")
     left = blocks.cut(left)
 
-    # the sets that are left, each once
-    def keyed(batches):
-        for batch in blocks.sliced(batches, "text"):
-            first, x = shingles(batch.column(0), words)
-            size, raw = np.diff(first), x.tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array(nodes_of(first, x)), batch.column(0)], names=["node", "text"])
-
-    found = left.count()
-    few = F.broadcast(left) if found <= broadcast_rows else left
-    rows = docs.select("text").mapInArrow(keyed, "node long, text string").join(few, "node")
-
+    # the sets that are left, each once; one Python worker does it all, as every worker of a stage keeps its memory
     def listed(batches):
         seen = set()
         for batch in blocks.sliced(batches, "text"):
-            first, x = shingles(batch.column(1), words)
-            raw, ids = x.tobytes(), batch.column(0).to_pylist()
-            fresh = [i for i, node in enumerate(ids) if not (node in seen or seen.add(node))]
+            first, x = shingles(batch.column(0), words)
+            raw, ids = x.tobytes(), nodes_of(first, x).tolist()
+            fresh = [i for i, node in enumerate(ids) if node and not (node in seen or seen.add(node))]
             if len(seen) > 200_000:
                 seen.clear()
             yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in fresh], pa.int64()), pa.array([raw[8 * first[i] : 8 * first[i + 1]] for i in fresh], pa.binary())], names=["node", "tokens"])
 
-    sets = blocks.cut(rows.mapInArrow(listed, "node long, tokens binary").groupBy("node").agg(F.first("tokens").alias("tokens")))
+    found = left.count()
+    few = F.broadcast(left) if found <= broadcast_rows else left
+    rows = docs.select("text").mapInArrow(listed, "node long, tokens binary").join(few, "node")
+    sets = blocks.cut(rows.groupBy("node").agg(F.first("tokens").alias("tokens")))
     known = _linked(sets, percent, found, cell_tokens)
     if known is None:
         labels = nodes.select("node", F.col("node").alias("label"))

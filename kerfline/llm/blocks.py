@@ -1,6 +1,6 @@
 """Vectorised helpers that the text operators share.
 
-Texts reach Python as Arrow columns. They are cut into blocks of a few MB, laid
+Texts reach Python as Arrow columns. They are cut into blocks of bounded size, laid
 end to end as UTF-8 bytes with one separator byte after each, and handled by
 numpy, so that a worker's memory depends on the block size and the longest single
 text, not on the number of rows.
@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text handled at once; a longer single text is a block of its own.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
+#: Rows that travel to a worker at once, where the session names no other number than Spark's own.
+BATCH_ROWS = 1000
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -119,6 +121,13 @@ def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
+def small_batches(df: DataFrame) -> None:
+    """Lets fewer rows travel at once, as a batch of texts is held by the JVM and by the worker."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(key) == "10000":
+        conf.set(key, str(BATCH_ROWS))
+
+
 def only(docs: DataFrame, *columns: str) -> DataFrame:
     """The named columns, whatever else there is."""
     return docs.select(*[docs[c] for c in columns])

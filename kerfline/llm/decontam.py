@@ -162,6 +162,7 @@ def indexes(benchmark: DataFrame, rate: float = 0.1, text: str = "text", item_id
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id", block_mb: float = 8.0) -> DataFrame:
     """(doc_id, item_id, edits, budget, item_bytes) for every item found in a row's whole text."""
+    blocks.small_batches(docs)
     picked = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
     kinds = picked.schema["doc_id"].dataType.simpleString(), benchmark.schema[item_id].dataType.simpleString()
     out = None

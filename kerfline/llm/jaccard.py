@@ -112,6 +112,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85, text: str = "text", doc_id: str = "doc_id", slack: int = 5, broadcast_rows: int = 1_000_000, cell_tokens: int = 300_000) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row."""
+    blocks.small_batches(docs)
     docs = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     base = blocks.cut(_sets(docs, words))

@@ -83,6 +83,7 @@ class LanguageModel:
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", max_rows: int = 20000, smoothing: float = 0.2, max_languages: int = 512) -> LanguageModel:
     """Learns from about max_rows labelled rows, chosen by a hash of the id (all of them if there are fewer)."""
+    blocks.small_batches(docs)
     rows = docs.where(docs[lang].isNotNull())
     total = rows.count()
     if total > max_rows:
@@ -117,6 +118,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
 
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, lang_pred, score) for every row."""
+    blocks.small_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -130,6 +132,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", doc_id: s
 
 def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float = 0.5, text: str = "text") -> DataFrame:
     """The rows, with all their columns, whose language is identified with at least min_score; `und` goes."""
+    blocks.small_batches(docs)
     shared, schema = docs.sparkSession.sparkContext.broadcast(model), docs.schema
 
     def run(batches):

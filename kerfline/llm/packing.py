@@ -103,6 +103,7 @@ def pieces(docs: DataFrame, path: str, length: int = 2048, text: str = "text", d
             cols = list(zip(*rows)) or [()] * 5
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(cols[0], pa.int64())), *[pa.array(c, pa.int64()) for c in cols[1:]]], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
+    blocks.small_batches(docs)
     picked = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
     return picked.mapInArrow(run, f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long")
 

@@ -4,6 +4,8 @@ import collections
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,3 +162,23 @@ def test_decontamination(docs, rows, spark, nothing):
     assert decontam.find_leaks(docs, bench, block_mb=0.0001).count() == 1
     kept = decontam.drop_leaks(docs, bench)
     assert kept.columns == docs.columns and kept.count() == docs.count() - 1 and decontam.find_leaks(nothing, bench).count() == 0
+
+
+def test_toxicity_counts_all_predecessors(spark):
+    """A word behind 700 different words counts 700 times, pairs met again in other texts once."""
+    made = [(i, f"p{i} common p{i} Common x{i % 7} rare") for i in range(700)] + [(-1, "rare"), (-2, None), (-3, "")]
+    docs = spark.createDataFrame(made, "doc_id long, text string").repartition(5)
+    want = collections.defaultdict(set)
+    for _, t in made:
+        before = None
+        for w in (t or "").lower().split():
+            want[w].add(before)
+            before = w
+    hashed = {w: int(toxicity.words(pa.array([w]))[0][0]) for w in want}
+    for asked in (["common", "rare", "p5", "x3"], sorted(want)):
+        vocabulary = np.array(sorted([0] * (len(asked) > 4) + [hashed[w] for w in asked]), np.uint64)
+        met, total = toxicity.corpus_counts(docs, vocabulary)
+        assert {w: met[np.searchsorted(vocabulary, np.uint64(hashed[w]))] for w in asked} == {w: len(want[w]) for w in asked}
+        assert total == sum(map(len, want.values()))
+    assert len(want["common"]) == 700 and len(want["rare"]) == 8
+    assert [x.tolist() for x in toxicity.corpus_counts(docs, vocabulary[:0])[:1]] == [[]]

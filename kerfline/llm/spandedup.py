@@ -4,8 +4,8 @@ Texts are split into sentences, every run of `span` consecutive sentences is has
 equal runs are joined over the whole table. The first run, by (doc_id, place), stays;
 the sentences that any later run covers are removed.
 
-Defined cases: null texts have no sentences; texts of fewer sentences than a span lose
-nothing; runs may overlap inside one text, and repeat there; rows with one doc_id are
+Defined cases: null texts have no sentences; a text of fewer sentences than a span is one
+run as a whole, equal only to texts of the same sentences; runs may overlap inside one text, and repeat there; rows with one doc_id are
 told apart by a hash of the text, and identical rows (same id, same text) count once and
 are all cut alike; null ids come first; other columns are not looked at.
 """
@@ -54,20 +54,25 @@ def _hashes(column, span: int):
     # trailing white space does not count
     last = np.maximum.accumulate(np.where(_SPACE[data], -1, np.arange(len(data)))) if len(data) else begin
     each = blocks.range_hashes(sums, begin, last[end - 1] + 1) if len(begin) else np.zeros(0, np.uint64)
-    runs = np.zeros(max(len(each) - span + 1, 0), np.uint64)
-    for k in range(span):
-        runs = blocks.mix64(runs * np.uint64(31) + each[k : len(each) - span + 1 + k]) if len(runs) else runs
-    inside = doc[: len(runs)] == doc[span - 1 :][: len(runs)] if len(runs) else np.zeros(0, bool)
     first = np.searchsorted(doc, np.arange(len(starts)))
-    return data, starts, ends, begin, end, doc, runs, inside, first
+    last_of = np.searchsorted(doc, np.arange(len(starts)), side="right")
+    place = np.arange(len(each))
+    # how many sentences the run has that begins here: a short text's are all of them
+    length = np.minimum(span, last_of[doc] - first[doc]) if len(doc) else place
+    inside = place + length <= last_of[doc] if len(doc) else np.zeros(0, bool)
+    runs = np.zeros(len(each), np.uint64)
+    for k in range(span):
+        at = np.flatnonzero(inside & (length > k))
+        runs[at] = blocks.mix64(runs[at] * np.uint64(31) + each[at + k])
+    return data, starts, ends, begin, end, doc, runs, inside, first, last_of
 
 
-def spans(docs: DataFrame, span: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def spans(docs: DataFrame, span: int = 2, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, copy, at, hash) of every run; copy is a hash of the text, at its first sentence."""
 
     def run(batches):
         for batch in blocks.sliced(batches, "text"):
-            data, starts, ends, _, _, doc, runs, inside, first = _hashes(batch.column(1), span)
+            data, starts, ends, _, _, doc, runs, inside, first, _ = _hashes(batch.column(1), span)
             sums = blocks.prefix_sums(blocks.BYTE_VALUES[data])
             copy = blocks.range_hashes(sums, starts, ends).view(np.int64)
             k = np.flatnonzero(inside)
@@ -78,7 +83,7 @@ def spans(docs: DataFrame, span: int = 3, text: str = "text", doc_id: str = "doc
     return picked.mapInArrow(run, f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, copy long, at int, hash long")
 
 
-def repeated(docs: DataFrame, span: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def repeated(docs: DataFrame, span: int = 2, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, copy, runs): for each text the first sentences of its runs that are not the first of their kind."""
     every = spans(docs, span, text, doc_id)
     # struct order puts nulls first; min and max differ where a run has a second place
@@ -88,7 +93,7 @@ def repeated(docs: DataFrame, span: int = 3, text: str = "text", doc_id: str = "
     return later.groupBy("doc_id", "copy").agg(F.collect_set("at").alias("runs"))
 
 
-def remove_repeats(docs: DataFrame, span: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def remove_repeats(docs: DataFrame, span: int = 2, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """For every row (doc_id, n_bytes, n_sentences, n_removed, removed_bytes, kept_text)."""
     found = repeated(docs, span, text, doc_id).withColumnRenamed("doc_id", "__id").withColumnRenamed("copy", "__copy")
     picked = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
@@ -105,13 +110,13 @@ def remove_repeats(docs: DataFrame, span: int = 3, text: str = "text", doc_id: s
 
     def cut(batches):
         for batch in blocks.sliced(batches, "text"):
-            data, starts, ends, begin, end, doc, _, _, first = _hashes(batch.column(1), span)
+            data, starts, ends, begin, end, doc, _, _, first, last_of = _hashes(batch.column(1), span)
             gone = np.zeros(len(begin) + 1, np.int64)
             hits = batch.column(2)
             at = np.frombuffer(b"".join(np.array(x, np.int64).tobytes() for x in hits.to_pylist() if x is not None), np.int64)
             owner = np.repeat(np.arange(len(hits)), [len(x) if x is not None else 0 for x in hits.to_pylist()])
             np.add.at(gone, first[owner] + at, 1)
-            np.add.at(gone, np.minimum(first[owner] + at + span, len(begin)), -1)
+            np.add.at(gone, np.minimum(first[owner] + at + span, last_of[owner]), -1)
             gone = np.cumsum(gone)[: len(begin)] > 0
             keep = np.ones(len(data) + 1, np.int64)
             step = np.zeros(len(data) + 1, np.int64)
@@ -126,7 +131,7 @@ def remove_repeats(docs: DataFrame, span: int = 3, text: str = "text", doc_id: s
     return joined.mapInArrow(cut, f"doc_id {kind}, n_bytes long, n_sentences long, n_removed long, removed_bytes long, kept_text string")
 
 
-def brute(texts: list[tuple], span: int = 3) -> dict:
+def brute(texts: list[tuple], span: int = 2) -> dict:
     """The removed sentences of each (doc_id, text), for tests: {(doc_id, text): set of places}."""
     import pyarrow
 
@@ -137,7 +142,8 @@ def brute(texts: list[tuple], span: int = 3) -> dict:
         listed[key] = [data[x:y].tobytes().strip() for x, y in zip(b, e)]
     gone = {k: set() for k in listed}
     for key, parts in listed.items():
-        for i in range(len(parts) - span + 1):
-            if first.setdefault(hashlib.sha256(b"\0".join(parts[i : i + span])).digest(), (key, i)) != (key, i):
-                gone[key].update(range(i, i + span))
+        size = min(span, len(parts))
+        for i in range(len(parts) - size + 1 if parts else 0):
+            if first.setdefault(hashlib.sha256(b"\0".join(parts[i : i + size])).digest(), (key, i)) != (key, i):
+                gone[key].update(range(i, i + size))
     return gone

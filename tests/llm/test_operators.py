@@ -107,6 +107,22 @@ def test_spans(docs, rows, spark, nothing):
     assert spandedup.remove_repeats(nothing).count() == 0
 
 
+def test_short_texts_and_passages(spark):
+    """Copies of one or two sentences are cut whole, and so are two whole sentences among others."""
+    made = [(1, "Only one sentence here."), (2, "Only one sentence here.  "), (3, "P one. Q two."), (4, "P one. Q two."), (5, "Own. P one. Q two. End."), (6, "P one."), (7, "Q two. P one."), (8, "!"), (9, "no stop"), (10, "no stop\n")]
+    want = {1: 0, 2: 1, 3: 0, 4: 2, 5: 2, 6: 0, 7: 0, 8: 0, 9: 0, 10: 1}
+    for rows in (made, made[::-1]):
+        got = {r.doc_id: r for r in spandedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert {i: r.n_removed for i, r in got.items()} == want
+        assert got[4].kept_text == got[2].kept_text == "" and got[5].kept_text == "Own. End."
+    assert {k[0]: len(v) for k, v in spandedup.brute(made).items()} == want
+    rng = random.Random(3)
+    mixed = [(i, " ".join(f"S{rng.randrange(9)}." for _ in range(rng.randrange(6)))) for i in range(80)]
+    for span in (1, 2, 3, 4):
+        removed = {(r.doc_id, t): r.n_removed for r, t in ((r, dict(mixed)[r.doc_id]) for r in spandedup.remove_repeats(spark.createDataFrame(mixed, "doc_id long, text string"), span).collect())}
+        assert removed == {k: len(v) for k, v in spandedup.brute(mixed, span).items()}
+
+
 def test_packing(docs, rows, nothing):
     got = packing.pack(docs, token_path(), group_rows=8).toPandas()
     assert got.groupby("sequence_id")["length"].sum().max() <= 2048

@@ -192,6 +192,40 @@ def reachable_content(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").join(nodes, F.col("l_partkey") == nodes["node"], "left_semi").groupBy("l_partkey").agg(F.count("*").alias("n"))
 
 
+_ALL_PARTS = "WITH RECURSIVE edges AS (SELECT p_partkey AS parent, (p_partkey * 7) % (SELECT count(*) FROM part) AS child FROM part), "
+
+
+def _part_links(spark, sf_dir):
+    """Edges of the whole part table, modulo its size; as roots all parts of one brand; and the size."""
+    part = table(spark, sf_dir, "part")
+    size = part.count()
+    return part.selectExpr("p_partkey AS parent", f"(p_partkey * 7) % {size} AS child"), part.where("p_brand = 'Brand#7'").selectExpr("p_partkey AS node"), size
+
+
+@query(_ALL_PARTS + """x AS (SELECT p_partkey AS node, [p_partkey] AS path, false AS stopped FROM part WHERE p_brand = 'Brand#7'
+ UNION ALL SELECT e.child, list_append(x.path, e.child), list_contains(x.path, e.child) FROM x JOIN edges e ON x.node = e.parent WHERE NOT x.stopped)
+SELECT node, array_to_string(path, '/') AS path, stopped FROM x""")
+def expand_part_instances(spark, sf_dir):
+    edges, roots, size = _part_links(spark, sf_dir)
+    out = hierarchy.expand(edges, roots, max_depth=size + 1)  # no path without a repeat is longer
+    return out.select("node", F.array_join(F.col("path").cast("array<string>"), "/").alias("path"), "stopped")
+
+
+_REACH_PARTS = _ALL_PARTS + "x AS (SELECT p_partkey AS node FROM part WHERE p_brand = 'Brand#7' UNION SELECT e.child FROM x JOIN edges e ON x.node = e.parent)"
+
+
+@query(_REACH_PARTS + " SELECT node FROM x")
+def reachable_parts(spark, sf_dir):
+    edges, roots, size = _part_links(spark, sf_dir)
+    return hierarchy.reachable(edges, roots, max_rounds=size + 1)
+
+
+@query(_REACH_PARTS + " SELECT l_partkey, count(*) AS n FROM lineitem WHERE l_partkey IN (SELECT node FROM x) GROUP BY l_partkey")
+def reachable_part_content(spark, sf_dir):
+    nodes = reachable_parts(spark, sf_dir)
+    return table(spark, sf_dir, "lineitem").join(nodes, F.col("l_partkey") == nodes["node"], "left_semi").groupBy("l_partkey").agg(F.count("*").alias("n"))
+
+
 @query("""SELECT vec_id, i.rule FROM (SELECT vec_id, unnest([CASE WHEN len(embedding) <> 64 THEN 'length' END, CASE WHEN embedding[1] > 0.2 THEN 'first_large' END, CASE WHEN label = 3 THEN 'label_three' END]) AS rule FROM embeddings) i WHERE i.rule IS NOT NULL""")
 def rule_violations(spark, sf_dir):
     return rules.run_rules(table(spark, sf_dir, "embeddings"), "vec_id", [("length", F.size("embedding") != 64), ("first_large", F.col("embedding")[0] > F.lit(0.2).cast("double")), ("label_three", F.col("label") == 3)])

@@ -9,7 +9,9 @@ text, not on the number of rows.
 from __future__ import annotations
 
 import ctypes
+import re
 import sys
+import tempfile
 import uuid
 
 import numpy as np
@@ -106,13 +108,23 @@ def sliced(batches, column: str, limit: int | None = None):
     release()
 
 
+def _libc(name: str, *arguments: int) -> None:
+    if sys.platform == "linux":
+        call = getattr(ctypes.CDLL(None), name, None)
+        if call is not None:
+            call(*arguments)
+
+
+# Arrays of a block's size are taken from the heap again and again, not mapped anew each
+# time (M_MMAP_THRESHOLD and M_TRIM_THRESHOLD); release() gives all of it back.
+_libc("mallopt", -3, 1 << 25)
+_libc("mallopt", -1, 1 << 27)
+
+
 def release() -> None:
     """Gives freed memory back, as a worker stays on for later tasks of other stages."""
     pa.default_memory_pool().release_unused()
-    if sys.platform == "linux":
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+    _libc("malloc_trim", 0)
 
 
 def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,18 +150,24 @@ def bucket_of(column, parts: int):
     return F.crc32(column.cast("string").cast("binary")) % parts
 
 
+def _shared(spark: SparkSession) -> str:
+    """The folder that the session names; one of this machine only where the session has no other machines."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"{tempfile.gettempdir()}/checkpoints/kerfline"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new path in the folder that driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        # only where the session names none, as in tests on one machine
-        base = "/tmp/checkpoints/kerfline"
-    return f"{base.rstrip('/')}/kerfline-{uuid.uuid4().hex}"
+    return f"{_shared(spark)}/kerfline-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:
     """The rows written to the shared checkpoint folder, so that lost executors cost no recomputation."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/kerfline")
+        context.setCheckpointDir(_shared(df.sparkSession))
     return df.checkpoint(eager=True)

@@ -3,19 +3,23 @@
 Every byte covered by a string of `length` bytes that also starts somewhere else is
 removed. Equal strings choose the same key, their least hashed k-gram, so the windows of
 a text fall into segments by key, and only segments whose key occurs again are compared.
-Equal segments are counted before they move; one of each goes to a bucket. A bucket's
-segments, laid end to end, get a run-compressed Burrows-Wheeler transform: of each run
-only the two ends are kept, with their text place and the length they share with the
-neighbour outside. Matching statistics are then streamed over the text from these
-samples alone, and windows whose longest match elsewhere reaches `length` are marked.
+Equal segments travel once, with their number as a weight. A bucket's segments get a
+run-compressed Burrows-Wheeler transform: of each run only the two ends are kept, with
+their place and the length they share with the neighbour outside. Matching statistics are
+then streamed over the places from these samples alone, and windows whose longest match
+elsewhere reaches `length` are marked.
 
 A key with more than hot_bytes of different segments (a short string that very many texts
 share) would make a bucket that grows with the input. Its segments are split into single
 windows, dealt and counted by the hash of each; equal windows then meet without an index.
+Keys of very many rows are dealt to several tasks before they are joined.
 
 Defined cases: null is empty; texts shorter than `length` lose nothing; matches never
 cross rows; overlapping copies inside one text count; identical rows are copies of each
-other; rows are told apart by id and a hash of the text; other columns are not looked at.
+other, and all copies of a string go, so that there are no ties to break; rows are told
+apart by id (null among them) and a hash of the text; a very long text is a block of its
+own and may have any number of segments; an empty table gives no rows; other columns are
+not looked at.
 """
 
 from __future__ import annotations
@@ -30,6 +34,8 @@ from pyspark.sql import functions as F
 from . import blocks
 
 SEPARATOR = 255  # never a byte of UTF-8
+#: A key with more rows than this, and than this share of all, is dealt to SALTS tasks; so there are at most HOT_SHARE of them.
+HOT_ROWS, HOT_SHARE, SALTS = 20_000, 10_000, 64
 
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -46,114 +52,95 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(column, length: int, k: int):
-    """(text, first window, windows, key, hash) of each run of windows that share their key, and each text's own hash."""
+    """(text, first window, windows, key, hash) of each run of windows that share their key."""
     data, starts, ends = blocks.separated(column, SEPARATOR)
-    sums = blocks.prefix_sums(blocks.BYTE_VALUES[data])
-    copy = blocks.range_hashes(sums, starts, ends).view(np.int64)
     n = len(data) - length + 1
-    if n <= 0:
-        return (*[np.zeros(0, np.int64)] * 5, copy)
-    at = np.arange(len(data) - k + 1)
-    grams = blocks.range_hashes(sums, at, at + k)
-    key = sliding_minimum(grams, length - k + 1)
     room = np.maximum(ends - starts - length + 1, 0)  # windows in each text
-    valid = np.zeros(n + 1, np.int64)
-    use = room > 0
-    np.add.at(valid, starts[use], 1)
-    np.add.at(valid, starts[use] + room[use], -1)
-    w = np.flatnonzero(np.cumsum(valid)[:n] > 0)
-    if not len(w):
-        return (*[np.zeros(0, np.int64)] * 5, copy)
+    if n <= 0 or not room.any():
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
+    sums = blocks.prefix_sums(blocks.BYTE_VALUES[data])
+    grams = (sums[k:] - sums[:-k]) * blocks.powers(len(sums), inverse=True)[:-k]
+    grams = (grams ^ (grams >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    grams ^= grams >> np.uint64(32)
+    key = sliding_minimum(grams, length - k + 1)
+    # whether a window lies inside one text: by turns so many that do and that do not
+    turns = np.column_stack((room, ends - starts + 1 - room)).ravel()
+    valid = np.repeat(np.tile([True, False], len(room)), turns)[:n]
     # a segment ends where its k-gram leaves the window, even if an equal one is the next least
-    new = np.concatenate(([True], (key[w][1:] != key[w][:-1]) | (np.diff(w) != 1) | (grams[w[:-1]] == key[w[:-1]])))
-    first = w[new]
-    count = np.diff(np.concatenate((np.flatnonzero(new), [len(w)])))
+    new = valid.copy()
+    new[1:] &= (key[1:] != key[:-1]) | (grams[: n - 1] == key[:-1]) | ~valid[:-1]
+    first = np.flatnonzero(new)
     doc = np.searchsorted(starts, first, side="right") - 1
-    return doc, first - starts[doc], count, key[first].view(np.int64), blocks.range_hashes(sums, first, first + count - 1 + length).view(np.int64), copy
-
-
-def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Suffixes in order, by prefix doubling from 8 bytes on; only undecided groups are sorted again."""
-    n = len(text)
-    padded = np.concatenate((text.astype(np.uint64) + np.uint64(0), np.zeros(8, np.uint64)))
-    word = np.zeros(n, np.uint64)
-    for i in range(7):  # 7 bytes and, in the lowest byte, how many of them there are
-        word = word << np.uint64(8) | padded[i : n + i]
-    word = word << np.uint64(8) | np.minimum(7, n - np.arange(n)).astype(np.uint64)
-    order = np.argsort(word)
-    head = np.concatenate(([True], word[order][1:] != word[order][:-1])) if n else np.zeros(0, bool)
-    rank = np.zeros(n + 1, np.int64)
-    rank[n] = -1
-    rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
-    h = 7
-    while True:
-        single = head & np.concatenate((head[1:], [True]))
-        slot = np.flatnonzero(~single)
-        if not len(slot):
-            return order
-        own = order[slot]
-        key = rank[own] << 32 | (rank[np.minimum(own + h, n)] + 1)
-        by = np.argsort(key)
-        order[slot] = own[by]
-        key = key[by]
-        head[slot] = np.concatenate(([True], key[1:] != key[:-1]))
-        place = np.maximum.accumulate(np.where(head[slot], slot, 0))
-        rank[order[slot]] = place
-        h *= 2
+    last = np.minimum(np.append(first[1:], n), starts[doc] + room[doc])
+    return doc, first - starts[doc], last - first, key[first].view(np.int64), blocks.range_hashes(sums, first, last - 1 + length).view(np.int64)
 
 
 class RunLengthIndex:
-    """A run-compressed Burrows-Wheeler transform with sampled run ends.
+    """A run-compressed Burrows-Wheeler transform of weighted parts, with sampled run ends.
+
+    Its rows are the places where a window of `length` bytes starts in a part, in the order
+    of what follows them there. Kept are, for the first and the last row of each run, the
+    place and the length shared with the row outside the run; 4 values a run, whatever the
+    size of the parts. A part of weight w stands for w copies, whose rows would lie next to
+    each other in the same runs.
 
-    Kept are, for the first and the last row of each run, the text place and the length
-    shared with the row outside the run; 4 values a run, whatever the text's length.
+    Places in a part's last length - 1 bytes have no row. A match that only such a place
+    would give is shorter than length, so that whether a statistic reaches it is exact.
     """
 
-    def __init__(self, text: np.ndarray):
-        n = len(text)
-        order = suffix_array(text)
-        bwt = text[order - 1]  # the byte before a suffix; before the first comes the last
-        head = np.concatenate(([True], bwt[1:] != bwt[:-1])) if n else np.zeros(0, bool)
-        # the row of suffix 0 is a run of its own: no suffix precedes it
-        zero = np.flatnonzero(order == 0)
-        head[zero] = True
-        head[zero[zero + 1 < n] + 1] = True
+    def __init__(self, parts: list[bytes], weights: np.ndarray, length: int):
+        sizes = np.array([len(p) for p in parts], np.int64)
+        rooms = np.maximum(sizes - length + 1, 0)
+        self.size, self.part = int(rooms.sum()), np.repeat(np.arange(len(parts)), rooms)
+        n, first_place = self.size, np.cumsum(rooms) - rooms
+        self.at = np.arange(n) - first_place[self.part]
+        self.left = sizes[self.part] - self.at  # bytes from each place to the end of its part
+        self.copied = np.asarray(weights)[self.part] > 1
+        self.runs = 0
+        if not n:
+            return
+        follow = [p[i:] for p, room in zip(parts, rooms.tolist()) for i in range(room)]
+        order = np.array(sorted(range(n), key=follow.__getitem__), np.int64)
+        del follow
+        text = np.frombuffer(b"".join(parts), np.uint8)
+        where = (np.cumsum(sizes) - sizes)[self.part] + self.at
+        before = np.where(self.at > 0, text[where - 1].astype(np.int64), -1)[order]
+        # nothing precedes a part's first place: its row is a run of its own
+        head = np.ones(n, bool)
+        head[1:] = (before[1:] != before[:-1]) | (before[1:] < 0)
         first = np.flatnonzero(head)
-        last = np.concatenate((first[1:] - 1, [n - 1])) if n else first
-        self.runs, self.size = len(first), n
-        shared = common(text, order[first[1:]], order[first[1:] - 1]) if n else np.zeros(0, np.int64)
-        above, below = np.concatenate(([0], shared)), np.concatenate((shared, [0]))
+        last = np.append(first[1:] - 1, n - 1)
+        self.runs = len(first)
+        up, down = order[first[1:] - 1], order[first[1:]]
+        shared = common(text, where[up], where[down], np.minimum(self.left[up], self.left[down]))
         by = np.argsort(order[first])
-        self.start_place, self.start_shared = order[first][by], above[by]
+        self.start_place, self.start_shared = order[first][by], np.append(0, shared)[by]
         by = np.argsort(order[last])
-        self.end_place, self.end_shared = order[last][by], below[by]
+        self.end_place, self.end_shared = order[last][by], np.append(shared, 0)[by]
 
     def matching_statistics(self) -> np.ndarray:
         """For each place, streamed in text order, the longest match that starts elsewhere.
 
-        Inside a run a suffix and its neighbour follow the same byte, so one place further
+        Inside a run a place and its neighbour follow the same byte, so one place further
         on their shared length is one less; only run ends need a sample.
         """
-        out = np.zeros(self.size, np.int64)
-        for place, shared in ((self.start_place, self.start_shared), (self.end_place, self.end_shared)):
-            k = np.diff(np.concatenate((place, [self.size])))
-            out = np.maximum(out, np.repeat(place + shared, k) - np.arange(self.size))
+        out = np.where(self.copied, self.left, 0)
+        if self.runs:
+            for place, shared in ((self.start_place, self.start_shared), (self.end_place, self.end_shared)):
+                k = np.diff(np.append(place, self.size))
+                out = np.maximum(out, np.repeat(place + shared, k) - np.arange(self.size))
         return out
 
 
-def common(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of the suffixes at a and b, by galloping over range hashes."""
-    n = len(text)
+def common(text: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Length of the common prefix, up to `most`, of what follows a and b, by galloping over range hashes."""
     sums = blocks.prefix_sums(blocks.BYTE_VALUES[text])
-    most = n - np.maximum(a, b)
     got = np.zeros(len(a), np.int64)
-    step = 1 << max(int(n).bit_length() - 1, 0)
-    top = int(min(step, 1 << 12))
-    # lengths over 4096 are rare: double as long as blocks of 4096 agree
+    top = 1 << min(max(int(most.max(initial=1)).bit_length() - 1, 0), 12)
+    # lengths over 4096 are rare: on as long as blocks of 4096 agree
     todo = np.arange(len(a))
     while len(todo):
-        fits = got[todo] + top <= most[todo]
-        todo = todo[fits]
+        todo = todo[got[todo] + top <= most[todo]]
         x, y = a[todo] + got[todo], b[todo] + got[todo]
         todo = todo[blocks.range_hashes(sums, x, x + top) == blocks.range_hashes(sums, y, y + top)]
         got[todo] += top
@@ -167,83 +154,78 @@ def common(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return got
 
 
-def mark_windows(parts: list[bytes], weights: np.ndarray, length: int) -> list[tuple[int, int, int]]:
+def mark_windows(parts: list[bytes], weights: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(part, first, last) of the runs of windows that start elsewhere too."""
-    sizes = np.array([len(p) for p in parts], np.int64)
-    text = np.frombuffer(b"".join(p + b"\xff" for p in parts), np.uint8)
-    start = np.cumsum(sizes + 1) - sizes - 1
-    index = RunLengthIndex(text)
+    index = RunLengthIndex(parts, weights, length)
     hit = index.matching_statistics() >= length
-    # a segment met more than once repeats as a whole
-    often = np.zeros(len(text) + 1, np.int64)
-    np.add.at(often, start[weights > 1], 1)
-    np.add.at(often, (start + sizes - length + 1)[weights > 1], -1)
-    hit |= np.cumsum(often)[: len(text)] > 0
-    # only windows inside one segment count; a match over a separator is none
-    own = np.repeat(np.arange(len(parts)), sizes + 1)
-    hit &= np.arange(len(text)) <= (start + sizes - length)[own]
-    lo, hi = blocks.runs(hit)
-    part = np.searchsorted(start, lo, side="right") - 1
-    return list(zip(part.tolist(), (lo - start[part]).tolist(), (hi - 1 - start[part]).tolist()))
-
-
-def find_repeats(docs: DataFrame, length: int = 200, k: int = 48, text: str = "text", doc_id: str = "doc_id", bucket_bytes: int = 1 << 20, hot_bytes: int = 1 << 20) -> DataFrame:
+    turn = hit.copy()
+    turn[1:] &= ~hit[:-1] | (index.at[1:] == 0)
+    lo = np.flatnonzero(turn)
+    stop = hit.copy()
+    stop[:-1] &= ~hit[1:] | (index.at[1:] == 0)
+    return index.part[lo], index.at[lo], index.at[np.flatnonzero(stop)]
+
+
+def find_repeats(docs: DataFrame, length: int = 200, k: int = 48, text: str = "text", doc_id: str = "doc_id", bucket_bytes: int = 1 << 19, hot_bytes: int = 1 << 20, hot_rows: int = HOT_ROWS, broadcast_keys: int = 100_000) -> DataFrame:
     """(doc_id, copy, spans): the byte ranges of each text that repeated strings cover, as [first, last window] places."""
-    picked = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
+    picked = _keyed(docs, text, doc_id)
     kind = picked.schema["doc_id"].dataType.simpleString()
 
     def cut(batches):
         for batch in blocks.sliced(batches, "text"):
-            doc, at, n, key, seg, copy = segments(batch.column(1), length, k)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc)), pa.array(copy[doc]), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(key), pa.array(seg)], names=["doc_id", "copy", "at", "n", "key", "seg"])
+            doc, at, n, key, seg = segments(batch.column(2), length, k)
+            own = pa.array(doc)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(1).take(own), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(key), pa.array(seg)], names=["doc_id", "copy", "at", "n", "key", "seg"])
 
     rows = picked.mapInArrow(cut, f"doc_id {kind}, copy long, at int, n int, key long, seg long")
-    again = rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    rows = blocks.cut(rows.join(again, "key"))
-    kinds = rows.groupBy("key", "seg").agg(F.count("*").alias("weight"), F.min(F.struct("doc_id", "copy", "at", "n")).alias("rep"))
-    size = kinds.groupBy("key").agg(F.sum(F.col("rep.n") + (length - 1)).alias("bytes"))
-    kinds = blocks.cut(kinds.join(size, "key").select("key", "seg", "weight", "rep.*", (F.col("bytes") > hot_bytes).alias("hot")))
-    buckets = max(1, int((kinds.agg(F.sum(F.col("n") + (length - 1))).first()[0] or 0) // bucket_bytes))
+    again = blocks.cut(rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
+    most = max(hot_rows, (again.agg(F.sum("c")).first()[0] or 0) // HOT_SHARE)
+    heavy = [r["key"] for r in again.where(F.col("c") > most).select("key").collect()]  # at most HOT_SHARE keys
+    salts = [F.lit(0).alias("salt")] * 2
+    if heavy:
+        hot = F.col("key").isin(heavy)
+        salts = [F.when(hot, F.pmod(F.xxhash64("seg"), F.lit(SALTS)).cast("int")).otherwise(0).alias("salt"), F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt")]
+    rows = blocks.cut(rows.select("*", salts[0]).join(again.select("key", salts[1]), ["key", "salt"]))
+    each = ["doc_id", "copy", "at", "n"]
+    kinds = blocks.cut(rows.groupBy("key", "salt", "seg").agg(F.count("*").alias("weight"), *[F.first(c).alias(c) for c in each]))
+    total = kinds.agg(F.sum(F.col("n") + (length - 1))).first()[0] or 0
+    buckets = max(1, int(total // bucket_bytes))
+    wide = kinds.groupBy("key").agg(F.sum(F.col("n") + (length - 1)).alias("bytes")).where(F.col("bytes") > hot_bytes).select(F.col("key").alias("wide"))
+    n_wide = wide.count()
+    kinds = kinds.join(F.broadcast(wide) if n_wide <= broadcast_keys else wide, kinds["key"] == wide["wide"], "left").withColumn("hot", F.col("wide").isNotNull())
     wanted = kinds.groupBy(F.col("doc_id").alias("id_"), F.col("copy").alias("copy_")).agg(F.collect_list(F.struct("key", "seg", "weight", "at", "n", "hot")).alias("reps"))
-
-    keyed = with_copy(picked)
-    held = keyed.join(wanted, keyed["doc_id"].eqNullSafe(wanted["id_"]) & (keyed["copy"] == wanted["copy_"])).select("doc_id", "copy", "text", "reps")  # identical rows come twice: their segments do repeat
+    held = picked.join(wanted, picked["doc_id"].eqNullSafe(wanted["id_"]) & (picked["copy"] == wanted["copy_"])).select("text", "reps")  # identical rows come twice: their segments do repeat
 
     def fetch(batches):
         for batch in blocks.sliced(batches, "text"):
-            data, starts, ends = blocks.separated(batch.column(2), SEPARATOR)
-            sums = blocks.prefix_sums(blocks.BYTE_VALUES[data])
-            raw, out = data.tobytes(), [[] for _ in range(7)]
-            for s, reps in zip(starts.tolist(), batch.column(3).to_pylist()):
-                for r in reps:
-                    a, n = s + r["at"], r["n"]
-                    if not r["hot"]:
-                        row = [[r["key"]], [r["seg"]], [0], [r["weight"]], [r["key"]], [False], [raw[a : a + n - 1 + length]]]
-                    else:
-                        w = np.arange(a, a + n)
-                        row = [[r["key"]] * n, [r["seg"]] * n, list(range(n)), [r["weight"]] * n, blocks.range_hashes(sums, w, w + length).view(np.int64).tolist(), [True] * n, [None] * n]
-                    for c, x in zip(out, row):
-                        c.extend(x)
-            kinds_ = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds_)], names=["key", "seg", "off", "weight", "route", "hot", "bytes"])
+            data, starts, ends = blocks.separated(batch.column(0), SEPARATOR)
+            reps = batch.column(1)
+            count, flat = reps.value_lengths().to_numpy(), reps.flatten()
+            key, seg, weight, at, n, hot = [flat.field(i).to_numpy(zero_copy_only=False) for i in range(6)]
+            at = at + np.repeat(starts, count)
+            raw, one = data.tobytes(), np.flatnonzero(~hot)
+            yield _parts(key[one], seg[one], np.zeros(len(one), np.int32), weight[one], key[one], False, pa.array([raw[a:b] for a, b in zip(at[one].tolist(), (at + n - 1 + length)[one].tolist())], pa.binary()))
+            if hot.any():
+                sums = blocks.prefix_sums(blocks.BYTE_VALUES[data])
+                for some in np.array_split(np.flatnonzero(hot), -(-int(n[hot].sum()) // (1 << 16))):
+                    off = np.arange(n[some].sum()) - np.repeat(np.cumsum(n[some]) - n[some], n[some])
+                    of = np.repeat(some, n[some])
+                    w = at[of] + off
+                    yield _parts(key[of], seg[of], off.astype(np.int32), weight[of], blocks.range_hashes(sums, w, w + length).view(np.int64), True, pa.nulls(len(of), pa.binary()))
 
     parts = held.mapInArrow(fetch, "key long, seg long, off int, weight long, route long, hot boolean, bytes binary")
-    hot = kinds.where("hot").limit(1).count() > 0
-    if hot:
+    if n_wide:
         parts = blocks.cut(parts)
-    plain = parts.where("not hot").select("key", "seg", "off", "weight", "route", "bytes")
 
     def scan(pdf):
-        pdf = pdf.sort_values(["key", "seg", "off"], kind="stable", ignore_index=True)
-        found = mark_windows(pdf["bytes"].tolist(), pdf["weight"].to_numpy(), length)
-        at = np.array([f[0] for f in found], np.int64)
-        own = pdf.iloc[at]
-        return own[["key", "seg"]].assign(lo=own["off"].to_numpy() + np.array([f[1] for f in found], np.int64), hi=own["off"].to_numpy() + np.array([f[2] for f in found], np.int64))
+        pdf = pdf.drop_duplicates(["key", "seg"], ignore_index=True)  # rows fetched twice, from identical texts
+        part, lo, hi = mark_windows(pdf["bytes"].tolist(), pdf["weight"].to_numpy(), length)
+        return pdf[["key", "seg"]].iloc[part].assign(lo=lo, hi=hi)
 
-    dealt = plain.withColumn("bucket", F.pmod(F.xxhash64("route"), F.lit(buckets)))
+    dealt = parts.where("not hot").select("key", "seg", "weight", "bytes", F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"))
     marks = dealt.groupBy("bucket").applyInPandas(scan, "key long, seg long, lo long, hi long")
-    if hot:
-        windows = parts.where("hot")
+    if n_wide:
+        windows = parts.where("hot").dropDuplicates(["key", "seg", "off"])
         # windows of hot keys: counted by hash, only those met again are repeats
         often = windows.groupBy("route").agg(F.sum("weight").alias("total")).where("total > 1").select("route")
         marks = marks.unionByName(windows.join(often, "route").select("key", "seg", F.col("off").cast("long").alias("lo"), F.col("off").cast("long").alias("hi")))
@@ -252,47 +234,36 @@ def find_repeats(docs: DataFrame, length: int = 200, k: int = 48, text: str = "t
     return placed.groupBy("doc_id", "copy").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
 
 
-def with_copy(picked: DataFrame) -> DataFrame:
-    """(doc_id, text) with a hash of the text."""
+def _parts(key, seg, off, weight, route, hot: bool, raw) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(seg), pa.array(off), pa.array(weight), pa.array(route), pa.array(np.full(len(key), hot)), raw], names=["key", "seg", "off", "weight", "route", "hot", "bytes"])
 
-    def run(batches):
-        for batch in blocks.sliced(batches, "text"):
-            data, starts, ends = blocks.separated(batch.column(1), SEPARATOR)
-            copy = blocks.range_hashes(blocks.prefix_sums(blocks.BYTE_VALUES[data]), starts, ends).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(copy)], names=["doc_id", "text", "copy"])
 
-    return picked.mapInArrow(run, f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, text string, copy long")
+def _keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """(doc_id, copy, text): copy is a hash of the text."""
+    return docs.select(docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("copy"), docs[text].alias("text"))
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, text: str = "text", doc_id: str = "doc_id", keep_text: bool = True, **limits) -> DataFrame:
     """For every row (doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept): kept is the bytes that stay."""
-    picked = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
-    spans = find_repeats(picked, length, **limits).withColumnRenamed("doc_id", "id_").withColumnRenamed("copy", "copy_")
-    keyed = with_copy(picked)
+    keyed = _keyed(docs, text, doc_id)
+    spans = find_repeats(docs, length, text=text, doc_id=doc_id, **limits).withColumnRenamed("doc_id", "id_").withColumnRenamed("copy", "copy_")
     joined = keyed.join(spans, keyed["doc_id"].eqNullSafe(spans["id_"]) & (keyed["copy"] == spans["copy_"]), "left").select("doc_id", "text", "spans")
 
     def run(batches):
         for batch in blocks.sliced(batches, "text"):
-            data, off = blocks.utf8(batch.column(1))
-            raw, rows = data.tobytes(), []
-            for s, e, found in zip(off[:-1].tolist(), off[1:].tolist(), batch.column(2).to_pylist()):
-                kept, removed, n, at = [], 0, 0, s
-                lo, hi = 0, -1
-                for a, b in sorted((s + x["lo"], s + x["hi"] + length) for x in found or []):
-                    if a > hi:
-                        if hi > 0:
-                            kept.append(raw[at:lo])
-                            at, removed, n = hi, removed + hi - lo, n + 1
-                        lo, hi = a, b
-                    else:
-                        hi = max(hi, b)
-                if hi > 0:
-                    kept.append(raw[at:lo])
-                    at, removed, n = hi, removed + hi - lo, n + 1
-                kept = b"".join([*kept, raw[at:e]])
-                rows.append((e - s, removed, n, hashlib.sha256(kept).hexdigest(), kept if keep_text else None))
-            cols = list(zip(*rows)) or [()] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(cols, kinds)]], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
-
-    return joined.mapInArrow(run, f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+            data, starts, ends = blocks.separated(batch.column(1), SEPARATOR)
+            found = batch.column(2)
+            base = np.repeat(starts, np.nan_to_num(found.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))
+            flat = found.flatten()
+            lo, hi = [flat.field(i).to_numpy() + base for i in range(2)]
+            step = np.bincount(lo, minlength=len(data) + 1) - np.bincount(hi + length, minlength=len(data) + 1)
+            gone = np.cumsum(step)[: len(data)] > 0  # never a separator, as windows end before it
+            first, last = blocks.runs(gone)
+            doc = np.searchsorted(starts, first, side="right") - 1
+            n = len(starts)
+            removed, times = np.bincount(doc, last - first, n).astype(np.int64), np.bincount(doc, minlength=n)
+            stay = ~gone
+            left = [data[s:e][stay[s:e]].tobytes() for s, e in zip(starts.tolist(), ends.tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ends - starts), pa.array(removed), pa.array(times.astype(np.int64)), pa.array([hashlib.sha256(x).hexdigest() for x in left], pa.string()), pa.array(left if keep_text else [None] * n, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+
+    return joined.mapInArrow(run, f"doc_id {keyed.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

@@ -10,21 +10,37 @@ from kerfline.llm import blocks, decontam, gif, jaccard, langid, packing, qualit
 from kerfline.llm.queries import token_path
 
 
-@pytest.mark.parametrize("seed", range(8))
-def test_suffix_array_and_matching_statistics(seed):
+@pytest.mark.parametrize("seed", range(20))
+def test_run_length_index(seed):
+    """Matching statistics over parts: exact wherever a match of `length` decides, and streamed from few samples."""
     rng = random.Random(seed)
-    text = bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 250)))
-    data = np.frombuffer(text, np.uint8)
-    assert repeats.suffix_array(data).tolist() == sorted(range(len(text)), key=lambda i: text[i:])
-
-    def lcp(i, j):
-        k = 0
-        while max(i, j) + k < len(text) and text[i + k] == text[j + k]:
-            k += 1
-        return k
-
-    want = [max([lcp(i, j) for j in range(len(text)) if i != j] or [0]) for i in range(len(text))]
-    assert repeats.RunLengthIndex(data).matching_statistics().tolist() == want
+    length = rng.choice([1, 3, 8])
+    parts = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 60))) for _ in range(rng.randint(1, 6))]
+    if seed % 2:
+        parts += [parts[0] + b"a", b"ab" * 40]
+    weights = np.array([rng.choice([1, 1, 2]) for _ in parts])
+    places = [(p, i) for p, x in enumerate(parts) for i in range(len(x) - length + 1)]
+
+    def lcp(a, b):
+        x, y = parts[a[0]][a[1] :], parts[b[0]][b[1] :]
+        return next((k for k, (c, d) in enumerate(zip(x, y)) if c != d), min(len(x), len(y)))
+
+    index = repeats.RunLengthIndex(parts, weights, length)
+    want = [max([lcp(a, b) for b in places if b != a] + [len(parts[a[0]]) - a[1] if weights[a[0]] > 1 else 0]) for a in places]
+    got = index.matching_statistics()
+    assert [(p, i) for p, i in zip(index.part, index.at)] == places
+    assert [g if g >= length else 0 for g in got.tolist()] == [w if w >= length else 0 for w in want]
+    assert all(g >= w for g, w in zip(got.tolist(), want)) and index.runs <= len(places)
+    marked = {(p, i) for p, a, b in zip(*repeats.mark_windows(parts, weights, length)) for i in range(a, b + 1)}
+    assert marked == {place for place, w in zip(places, want) if w >= length}
+
+
+def test_run_length_index_compresses():
+    """Repetitive parts have far fewer runs than places."""
+    base = bytes(random.Random(1).choice(b"acgt") for _ in range(300))
+    parts = [base[:k] + b"x" + base[k:] for k in range(40)]
+    index = repeats.RunLengthIndex(parts, np.ones(40), 50)
+    assert index.runs * 4 < index.size
 
 
 @pytest.mark.parametrize("data", [b"", b"a" * 5000, bytes(range(256)) * 40, np.random.default_rng(1).integers(0, 256, 30000, np.uint8).tobytes()])

@@ -9,6 +9,7 @@ text, not on the number of rows.
 from __future__ import annotations
 
 import ctypes
+import gc
 import re
 import sys
 import tempfile
@@ -166,8 +167,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The rows written to the shared checkpoint folder, so that lost executors cost no recomputation."""
+    """The rows written to the shared checkpoint folder, so that lost executors cost no recomputation.
+
+    Shuffle files go when nothing in the driver refers to them any more; it is made to look,
+    as those of a job that is done would else lie about until its memory is full.
+    """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(_shared(df.sparkSession))
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    gc.collect()
+    context._jvm.System.gc()
+    return out

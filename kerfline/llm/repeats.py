@@ -229,8 +229,9 @@ def find_repeats(docs: DataFrame, length: int = 200, k: int = 48, text: str = "t
         # windows of hot keys: counted by hash, only those met again are repeats
         often = windows.groupBy("route").agg(F.sum("weight").alias("total")).where("total > 1").select("route")
         marks = marks.unionByName(windows.join(often, "route").select("key", "seg", F.col("off").cast("long").alias("lo"), F.col("off").cast("long").alias("hi")))
-    marks = marks.groupBy("key", "seg").agg(F.collect_list(F.struct("lo", "hi")).alias("marks"))
-    placed = rows.join(marks, ["key", "seg"]).select("doc_id", "copy", "at", F.explode("marks").alias("m")).select("doc_id", "copy", (F.col("at") + F.col("m.lo")).alias("lo"), (F.col("at") + F.col("m.hi")).alias("hi"))
+    # the texts fetched for the index are done with before all texts travel once more
+    marks = blocks.cut(marks)
+    placed = rows.drop("salt", "n").join(marks, ["key", "seg"]).select("doc_id", "copy", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi")).alias("hi"))
     return placed.groupBy("doc_id", "copy").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
 
 

@@ -166,16 +166,35 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{_shared(spark)}/kerfline-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows written to the shared checkpoint folder, so that lost executors cost no recomputation.
+def free(spark: SparkSession) -> None:
+    """Lets go of the shuffle files of plans that nothing refers to any more.
 
-    Shuffle files go when nothing in the driver refers to them any more; it is made to look,
-    as those of a job that is done would else lie about until its memory is full.
+    Spark removes them when the driver's memory is looked through, which may else be late.
     """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows written to the shared checkpoint folder, so that lost executors cost no recomputation."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(_shared(df.sparkSession))
-    out = df.checkpoint(eager=True)
-    gc.collect()
-    context._jvm.System.gc()
-    return out
+    free(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def spread_join(rows: DataFrame, kinds: DataFrame, key: str, count: str, by: str, hot_rows: int = 20_000) -> DataFrame:
+    """rows joined to kinds, which has each key once with its number of rows, so that no task gets all rows of a key.
+
+    Keys of more than hot_rows rows and more than a ten-thousandth of all (so there are at
+    most ten thousand) are dealt to 64 tasks by a hash of the column `by`; kinds, which
+    must be cut, is repeated for these. The dealing stays as column salt.
+    """
+    most = max(hot_rows, (kinds.agg(F.sum(count)).first()[0] or 0) // 10_000)
+    hot = [r[0] for r in kinds.where(F.col(count) > most).select(key).collect()]
+    if not hot:
+        return rows.withColumn("salt", F.lit(0)).join(kinds, key)
+    of, to = F.pmod(F.xxhash64(by), F.lit(64)).cast("int"), F.sequence(F.lit(0), F.lit(63))
+    dealt = kinds.withColumn("salt", F.explode(F.when(F.col(key).isin(hot), to).otherwise(F.array(F.lit(0)))))
+    return rows.withColumn("salt", F.when(F.col(key).isin(hot), of).otherwise(0)).join(dealt, [key, "salt"])

@@ -34,8 +34,6 @@ from pyspark.sql import functions as F
 from . import blocks
 
 SEPARATOR = 255  # never a byte of UTF-8
-#: A key with more rows than this, and than this share of all, is dealt to SALTS tasks; so there are at most HOT_SHARE of them.
-HOT_ROWS, HOT_SHARE, SALTS = 20_000, 10_000, 64
 
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -166,7 +164,7 @@ def mark_windows(parts: list[bytes], weights: np.ndarray, length: int) -> tuple[
     return index.part[lo], index.at[lo], index.at[np.flatnonzero(stop)]
 
 
-def find_repeats(docs: DataFrame, length: int = 200, k: int = 48, text: str = "text", doc_id: str = "doc_id", bucket_bytes: int = 1 << 19, hot_bytes: int = 1 << 20, hot_rows: int = HOT_ROWS, broadcast_keys: int = 100_000) -> DataFrame:
+def find_repeats(docs: DataFrame, length: int = 200, k: int = 48, text: str = "text", doc_id: str = "doc_id", bucket_bytes: int = 1 << 19, hot_bytes: int = 1 << 20, hot_rows: int = 20_000, broadcast_keys: int = 100_000) -> DataFrame:
     """(doc_id, copy, spans): the byte ranges of each text that repeated strings cover, as [first, last window] places."""
     picked = _keyed(docs, text, doc_id)
     kind = picked.schema["doc_id"].dataType.simpleString()
@@ -179,13 +177,7 @@ def find_repeats(docs: DataFrame, length: int = 200, k: int = 48, text: str = "t
 
     rows = picked.mapInArrow(cut, f"doc_id {kind}, copy long, at int, n int, key long, seg long")
     again = blocks.cut(rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
-    most = max(hot_rows, (again.agg(F.sum("c")).first()[0] or 0) // HOT_SHARE)
-    heavy = [r["key"] for r in again.where(F.col("c") > most).select("key").collect()]  # at most HOT_SHARE keys
-    salts = [F.lit(0).alias("salt")] * 2
-    if heavy:
-        hot = F.col("key").isin(heavy)
-        salts = [F.when(hot, F.pmod(F.xxhash64("seg"), F.lit(SALTS)).cast("int")).otherwise(0).alias("salt"), F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt")]
-    rows = blocks.cut(rows.select("*", salts[0]).join(again.select("key", salts[1]), ["key", "salt"]))
+    rows = blocks.cut(blocks.spread_join(rows, again, "key", "c", "seg", hot_rows).drop("c"))
     each = ["doc_id", "copy", "at", "n"]
     kinds = blocks.cut(rows.groupBy("key", "salt", "seg").agg(F.count("*").alias("weight"), *[F.first(c).alias(c) for c in each]))
     total = kinds.agg(F.sum(F.col("n") + (length - 1))).first()[0] or 0
@@ -231,6 +223,7 @@ def find_repeats(docs: DataFrame, length: int = 200, k: int = 48, text: str = "t
         marks = marks.unionByName(windows.join(often, "route").select("key", "seg", F.col("off").cast("long").alias("lo"), F.col("off").cast("long").alias("hi")))
     # the texts fetched for the index are done with before all texts travel once more
     marks = blocks.cut(marks)
+    blocks.free(docs.sparkSession)
     placed = rows.drop("salt", "n").join(marks, ["key", "seg"]).select("doc_id", "copy", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi")).alias("hi"))
     return placed.groupBy("doc_id", "copy").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
 

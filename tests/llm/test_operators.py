@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -99,10 +100,27 @@ def test_jaccard_chained_group(spark, cell_tokens):
     assert {r.doc_id: r.component_id for r in found} == dict(enumerate(least))
 
 
+def sentences(text):
+    """Split anew: after . ! or ? before white space or the end, and at line ends."""
+    return [x.strip(" \t\n\v\f\r") for x in re.split(r"(?<=[.!?])(?=[ \t\n\v\f\r])|\n", text or "") if x.strip(" \t\n\v\f\r")]
+
+
+def spans_by_hand(texts, span, least):
+    """The removed sentences of each (doc_id, text): {(doc_id, text): set of places}."""
+    listed = {key: sentences(key[1]) for key in sorted(set(texts), key=lambda x: x[0])}
+    first, gone = {}, {k: set() for k in listed}
+    for key, parts in listed.items():
+        for i in range(len(parts)):
+            stop = next((j for j in range(i + span, len(parts) + 1) if sum(len(x.encode()) for x in parts[i:j]) >= least), len(parts) if i == 0 else None)
+            if stop is not None and first.setdefault(tuple(parts[i:stop]), (key, i)) != (key, i):
+                gone[key].update(range(i, stop))
+    return gone
+
+
 def test_spans(docs, rows, spark, nothing):
     made = [(1, "A one. B two. C three. D four."), (2, "X. A one.  B two.\nC three. Y."), (3, None), (3, ""), (2, "X. A one.  B two.\nC three. Y.")]
-    got = spandedup.remove_repeats(spark.createDataFrame(made, "doc_id long, text string")).collect()
-    want = {k: len(v) for k, v in spandedup.brute([(i, t or "") for i, t in made]).items()}
+    got = spandedup.remove_repeats(spark.createDataFrame(made, "doc_id long, text string"), least_bytes=0).collect()
+    want = {k: len(v) for k, v in spans_by_hand([(i, t or "") for i, t in made], 2, 0).items()}
     assert sorted((r.doc_id, r.n_sentences, r.n_removed, r.kept_text) for r in got) == [(1, 4, 0, made[0][1]), (2, 5, 3, "X. Y."), (2, 5, 3, "X. Y."), (3, 0, 0, ""), (3, 0, 0, "")] and want[2, made[1][1]] == 3
     assert spandedup.remove_repeats(nothing).count() == 0
 
@@ -112,15 +130,15 @@ def test_short_texts_and_passages(spark):
     made = [(1, "Only one sentence here."), (2, "Only one sentence here.  "), (3, "P one. Q two."), (4, "P one. Q two."), (5, "Own. P one. Q two. End."), (6, "P one."), (7, "Q two. P one."), (8, "!"), (9, "no stop"), (10, "no stop\n")]
     want = {1: 0, 2: 1, 3: 0, 4: 2, 5: 2, 6: 0, 7: 0, 8: 0, 9: 0, 10: 1}
     for rows in (made, made[::-1]):
-        got = {r.doc_id: r for r in spandedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        got = {r.doc_id: r for r in spandedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), least_bytes=0).collect()}
         assert {i: r.n_removed for i, r in got.items()} == want
         assert got[4].kept_text == got[2].kept_text == "" and got[5].kept_text == "Own. End."
-    assert {k[0]: len(v) for k, v in spandedup.brute(made).items()} == want
+    assert {k[0]: len(v) for k, v in spans_by_hand(made, 2, 0).items()} == want
     rng = random.Random(3)
-    mixed = [(i, " ".join(f"S{rng.randrange(9)}." for _ in range(rng.randrange(6)))) for i in range(80)]
-    for span in (1, 2, 3, 4):
-        removed = {(r.doc_id, t): r.n_removed for r, t in ((r, dict(mixed)[r.doc_id]) for r in spandedup.remove_repeats(spark.createDataFrame(mixed, "doc_id long, text string"), span).collect())}
-        assert removed == {k: len(v) for k, v in spandedup.brute(mixed, span).items()}
+    mixed = [(i, rng.choice([" ", "\n", "  "]).join(f"Sé{rng.randrange(9)}." for _ in range(rng.randrange(9)))) for i in range(80)]
+    for span, least in ((1, 0), (2, 0), (3, 0), (2, 13), (2, 20), (1, 9)):
+        removed = {(r.doc_id, t): r.n_removed for r, t in ((r, dict(mixed)[r.doc_id]) for r in spandedup.remove_repeats(spark.createDataFrame(mixed, "doc_id long, text string"), span, least).collect())}
+        assert removed == {k: len(v) for k, v in spans_by_hand(mixed, span, least).items()}
 
 
 def test_packing(docs, rows, nothing):

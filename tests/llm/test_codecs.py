@@ -1,6 +1,8 @@
 """The parts that need no Spark, against brute force and round trips."""
 
+import collections
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -50,9 +52,13 @@ def test_lzw_round_trip(data):
 
 def test_gif_frames_disposal_and_transparency():
     payload = np.random.default_rng(2).integers(0, 256, 64 * 2500, np.uint8).tobytes()
-    frames = gif.decode(gif.encode(payload))
-    assert [f.samples.shape[0] for f in frames] == [1024, 1024, 452] and gif.read_back(gif.encode(payload)) == payload
-    assert sum(gif.histogram(frames[0].samples, frames[0].palette)) == 64 * 1024
+    got, frames = gif.read_back(gif.encode(payload))
+    assert got == payload and [(f["index"], f["at_ms"], f["height"]) for f in frames] == [(0, 0, 1024), (1, 40, 1024), (2, 80, 452)]
+    # the last frame covers the upper part of the picture, below which the one before stays
+    shown = payload[64 * 2048 :] + payload[64 * 1476 : 64 * 2048]
+    colours = np.frombuffer(gif.PALETTE, np.uint8).reshape(-1, 3)[np.frombuffer(shown, np.uint8)] >> 6
+    want = collections.Counter((colours.astype(int) @ [16, 4, 1]).tolist())
+    assert len(set(gif.PALETTE[i : i + 3] for i in range(0, 768, 3))) == 256 and {c["colour"]: c["pixels"] for c in frames[2]["colours"]} == want
     # two frames by hand: the second has a transparent pixel and shows the first through it
     palette = bytes([0, 0, 0, 255, 0, 0, 0, 255, 0, 0, 0, 255])
     one, two = gif.pack(np.array([4, 1, 1, 5]), np.array([3, 3, 3, 3])), gif.pack(np.array([4, 2, 0, 5]), np.array([3, 3, 3, 3]))
@@ -62,8 +68,8 @@ def test_gif_frames_disposal_and_transparency():
 
     for disposal, behind in ((1, [255, 0, 0, 255]), (2, [0, 0, 0, 0]), (3, [0, 0, 0, 0])):
         media = b"GIF89a" + bytes([2, 0, 1, 0, 0x81, 0, 0]) + palette + frame(one, disposal, None) + frame(two, 1, 0) + b"\x3b"
-        got = gif.decode(media)
-        assert got[1].canvas[0, 0].tolist() == [0, 255, 0, 255] and got[1].canvas[0, 1].tolist() == behind and got[0].delay == 5
+        shown = [(f.rgba()[0].tolist(), f.at, f.delay) for f in gif.decode(media)]
+        assert shown == [([[255, 0, 0, 255]] * 2, 0, 5), ([[0, 255, 0, 255], behind], 5, 5)]
 
 
 def test_first_fit_decreasing_is_first_fit():
@@ -131,3 +137,42 @@ def test_blocks_and_sentences():
     assert [data[i:j].tobytes() for i, j in zip(b, e)] == [b"One. ", b"Two! ", b"Three?\n", b"Four", b"x.y z."] and d.tolist() == [0, 0, 0, 0, 2]
     h, owner, letters = langid.grams(pa.array(["Ab 1", None]))
     assert letters.tolist() == [2, 0]
+
+
+def fewest_edits(item, text):
+    """Of any part of text, by the whole table of alignment."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(item, 1):
+        new = [i]
+        for j, d in enumerate(text, 1):
+            new.append(min(row[j - 1] + (c != d), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+def folded(text):
+    return re.sub("[\x00-/:-@\\[-`{-\x7f]+", " ", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")).strip(" ")
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_edits_against_whole_alignment(seed, monkeypatch):
+    """Every item within its budget is found with its fewest edits, counted in characters, and no other."""
+    rng = random.Random(seed)
+    if seed % 2:
+        monkeypatch.setattr(decontam, "STEP", 700)
+    letters = "abc é" if seed < 3 else "aab"
+    items = ["".join(rng.choice(letters) for _ in range(rng.randint(4, 70))) for _ in range(6)] + [None, "", "Ünïcödé is öne chäracter each, not twö", "a" * 40]
+
+    def edited(x):
+        for _ in range(rng.randint(0, 9)):
+            at = rng.randrange(len(x) + 1)
+            x = x[:at] + rng.choice(["", "é", "b"]) + x[at + rng.randint(0, 1) :]
+        return x
+
+    texts = [" ".join(edited(rng.choice(items) or "x") for _ in range(rng.randint(1, 3))) for _ in range(30)] + [None, "", "a" * 300, " A-B!c  " * 9, items[8].upper(), "x" + items[8].replace("ö", "o")]
+    index = decontam.BenchmarkIndex(list(range(len(items))), items, 0.15)
+    budget = {i: int(index.budget[k]) for k, i in enumerate(index.ids)}
+    assert set(budget) == {i for i, x in enumerate(items) if len(folded(x)) >= decontam.Q}
+    want = {(t, i, e) for t, x in enumerate(texts) for i, k in budget.items() if (e := fewest_edits(folded(items[i]), folded(x))) <= k}
+    doc, item, edits = index.search(pa.array(texts, pa.string()))
+    assert {(t, index.ids[i], e) for t, i, e in zip(doc.tolist(), item.tolist(), edits.tolist())} == want and len(want) > 5

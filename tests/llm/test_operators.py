@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -151,10 +152,22 @@ def test_packing(docs, rows, nothing):
     assert packing.pack(nothing, token_path()).count() == 0
 
 
-def test_gif(docs, nothing):
-    got = {r.doc_id: r for r in gif.digests(gif.store(docs)).collect()}
-    assert got[24].n_bytes == 0 and got[24].payload_sha256 == hashlib.sha256(b"\0" * 64).hexdigest() and got[24].media_sha256 == got[25].media_sha256
-    assert gif.digests(gif.store(nothing)).count() == 0
+def test_gif(docs, nothing, rows, spark):
+    found = gif.digests(gif.store(docs)).collect()
+    texts = sorted((i, (t or "").encode()) for i, t, *_ in rows)
+    for r, (i, body) in zip(sorted(found, key=lambda r: (r.doc_id, r.n_bytes)), texts, strict=True):
+        payload = body + b"\0" * (-len(body) % 64 if body else 64)
+        assert (r.doc_id, r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (i, len(body), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        assert r.media_sha256 == hashlib.sha256(gif.encode(payload)).hexdigest() and sum(c.pixels for c in r.frames[0].colours) == 64 * min(1024, len(payload) // 64)
+    assert len({r.feature for r in found}) > 10 and gif.digests(gif.store(nothing)).count() == 0
+    # a GIF from elsewhere: red, then green at the left with a hole through which what the first left is seen
+    codes = [gif.pack(np.array([4, *x, 5]), np.array([3] * 4)) for x in ((1, 1), (2, 0))]
+    for disposal, second in ((1, {48: 1, 12: 1}), (2, {12: 1}), (3, {12: 1})):
+        media = b"GIF89a" + bytes([2, 0, 1, 0, 0x81, 0, 0, 0, 0, 0, 255, 0, 0, 0, 255, 0, 0, 0, 255])
+        for data, bits in ((codes[0], disposal << 2), (codes[1], 1 << 2 | 1)):
+            media += b"\x21\xf9\x04" + bytes([bits, 5, 0, 0, 0]) + b"\x2c" + bytes([0, 0, 0, 0, 2, 0, 1, 0, 0]) + b"\x02" + bytes([len(data)]) + data + b"\0"
+        got = gif.digests(spark.createDataFrame([(1, 0, media + b"\x3b"), (2, 0, None)], "doc_id long, n_bytes long, media binary")).collect()
+        assert [(f.at_ms, f.disposal, {c.colour: c.pixels for c in f.colours}) for f in got[0].frames] == [(0, disposal, {48: 2}), (50, 1, second)] and got[0].payload_bytes == 4 and got[1].frames is None
 
 
 def test_line_dedup(spark, nothing):
@@ -193,7 +206,11 @@ def test_classifiers(spark, nothing):
 def test_decontamination(docs, rows, spark, nothing):
     bench = spark.createDataFrame([(1, rows[5][1]), (2, None), (3, "tiny")], "item_id long, text string")
     assert {(r.doc_id, r.item_id, r.edits) for r in decontam.find_leaks(docs, bench).collect()} == {(5, 1, 0)}
-    assert decontam.find_leaks(docs, bench, block_mb=0.0001).count() == 1
+    assert decontam.find_leaks(docs, bench, block_mb=0.0001).count() == 1 and decontam.drop_leaks(docs, bench, block_mb=0.0001).count() == docs.count() - 1
+    small = bench.selectExpr("CAST(item_id AS INT) AS item_id", "text").unionByName(bench.selectExpr("CAST(NULL AS INT) AS item_id", "text"))
+    assert {(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, small).collect()} == {(5, 1), (5, None)}
+    named = docs.selectExpr("CAST(doc_id AS STRING) AS doc_id", "text").union(spark.createDataFrame([(None, rows[5][1])], "doc_id string, text string"))
+    assert {r.doc_id for r in decontam.find_leaks(named, bench).collect()} == {"5", None}
     kept = decontam.drop_leaks(docs, bench)
     assert kept.columns == docs.columns and kept.count() == docs.count() - 1 and decontam.find_leaks(nothing, bench).count() == 0
 

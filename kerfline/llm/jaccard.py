@@ -20,7 +20,8 @@ result is the components of the full link graph, not all its links.
 
 Defined cases: null texts and texts without words have no shingles and stand alone; texts
 of fewer words than a shingle are one shingle; repeated rows get one component; a null id
-never is a component's least id unless all are null; other columns are not looked at.
+never is a component's least id unless all are null; a very long text is handled whole, its
+shingles at once; an empty table gives no rows; other columns are not looked at.
 Tokens and sets are known by 64-bit hashes; before verification 32 bits of a token do.
 """
 
@@ -336,14 +337,15 @@ def keep_first(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "
     Rows without an id can't be named by the result and all stay. Rows that share an id
     are one document: the one whose text sorts first stays.
     """
+    from pyspark.sql import Window
+
     found = blocks.cut(near_duplicates(docs, words, percent, text, doc_id))
-    stay = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("__rows")).withColumnRenamed("doc_id", "__stays")
-    named = docs.join(stay, docs[doc_id] == stay["__stays"])
-    several = stay.where("__rows > 1").limit(1).count() > 0
-    out = named.where("__rows = 1").select(*[docs[c] for c in docs.columns]) if several else named.select(*[docs[c] for c in docs.columns])
+    own = "_" * (1 + max(map(len, docs.columns)))  # no column of docs is called so
+    stay = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias(own)).withColumnRenamed("doc_id", own + "id")
+    named = docs.join(stay, docs[doc_id] == stay[own + "id"])
+    several = stay.where(stay[own] > 1).limit(1).count() > 0
+    out = (named.where(stay[own] == 1) if several else named).select(*[docs[c] for c in docs.columns])
     if several:
-        from pyspark.sql import Window
-
-        place = F.row_number().over(Window.partitionBy("__stays").orderBy(docs[text]))
-        out = out.union(named.where("__rows > 1").withColumn("__place", place).where("__place = 1").select(*[docs[c] for c in docs.columns]))
+        place = F.row_number().over(Window.partitionBy(own + "id").orderBy(docs[text]))
+        out = out.union(named.where(stay[own] > 1).withColumn(own + "place", place).where(F.col(own + "place") == 1).select(*[docs[c] for c in docs.columns]))
     return out.union(docs.where(docs[doc_id].isNull()))

@@ -3,7 +3,9 @@
 Defined cases: a null or letterless text is `und` with score 0; without any labelled
 training row every text is `und`; equal likelihoods go to the language that sorts
 first; other columns of the input are not looked at, and repeated rows are scored
-alike. Null languages are not learned from.
+alike. Null languages are not learned from. With more than 512 languages there are fewer
+hash buckets, so that the table keeps its size. A very long text is scored whole, in steps
+of bounded memory; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from . import blocks
 
 ORDERS = (1, 2, 3, 4)
 BUCKETS = 1 << 16
+#: Cells of the table of log-probabilities at most, and cells of it gathered at once.
+TABLE_CELLS, CELLS = 1 << 25, 1 << 22
 _letters: list[np.ndarray] = []
 
 
@@ -68,10 +72,11 @@ class LanguageModel:
             return ["und"] * n, np.zeros(n)
         total, count = np.zeros((n, width)), np.zeros(n)
         for h, doc in zip(hashed, owner):
-            if len(h):
-                first = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
-                total[doc[first]] += np.add.reduceat(self.table[h], first, axis=0, dtype=np.float64)
-                count += np.bincount(doc, minlength=n)
+            count += np.bincount(doc, minlength=n)
+            for a in range(0, len(h), max(1, CELLS // width)):
+                some, own = h[a : a + max(1, CELLS // width)] % len(self.table), doc[a : a + max(1, CELLS // width)]
+                first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+                total[own[first]] += np.add.reduceat(self.table[some], first, axis=0, dtype=np.float64)
         best = np.argmax(total + self.prior, axis=1)
         # long texts count as SHARPNESS n-grams: else every score would round to 1
         logit = total * np.minimum(1, 200 / np.maximum(count, 1))[:, None] + self.prior
@@ -81,37 +86,36 @@ class LanguageModel:
         return [self.languages[b] if k else "und" for b, k in zip(best, letters)], np.where(letters > 0, p, 0.0)
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", max_rows: int = 20000, smoothing: float = 0.2, max_languages: int = 512) -> LanguageModel:
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", max_rows: int = 20000, smoothing: float = 0.2) -> LanguageModel:
     """Learns from about max_rows labelled rows, chosen by a hash of the id (all of them if there are fewer)."""
     blocks.small_batches(docs)
     rows = docs.where(docs[lang].isNotNull())
     total = rows.count()
     if total > max_rows:
         rows = rows.where(F.pmod(F.xxhash64(docs[doc_id]), F.lit(1_000_000)) < int(1_000_000 * max_rows / total) + 1)
-    kinds = rows.select(lang).distinct().orderBy(lang).limit(max_languages + 1).collect()
-    languages = [r[0] for r in kinds]
-    if len(languages) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
+    languages = [r[0] for r in rows.select(lang).distinct().orderBy(lang).collect()]  # at most about max_rows
     if not languages:
         return LanguageModel([], np.zeros(0), np.zeros((BUCKETS, 0), np.float32))
-    number = {x: i for i, x in enumerate(languages)}
+    number, buckets = {x: i for i, x in enumerate(languages)}, BUCKETS
+    while buckets * len(languages) > TABLE_CELLS:
+        buckets //= 2
 
     def count(batches):
-        seen = np.zeros((len(languages), BUCKETS + 1), np.int64)
+        seen = np.zeros((len(languages), buckets + 1), np.int64)
         for batch in blocks.sliced(batches, "text"):
             of = np.array([number[x] for x in batch.column(1).to_pylist()], np.int64)
             hashed, owner, _ = grams(batch.column(0))
-            seen[:, BUCKETS] += np.bincount(of, minlength=len(languages))
+            seen[:, buckets] += np.bincount(of, minlength=len(languages))
             for h, doc in zip(hashed, owner):
-                seen += np.bincount(of[doc] * (BUCKETS + 1) + h, minlength=seen.size).reshape(seen.shape)
+                seen += np.bincount(of[doc] * (buckets + 1) + h % buckets, minlength=seen.size).reshape(seen.shape)
         k, b = np.nonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(k * (BUCKETS + 1) + b), pa.array(seen[k, b])], names=["cell", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(k * (buckets + 1) + b), pa.array(seen[k, b])], names=["cell", "n"])
 
     cells = rows.select(docs[text].alias("text"), docs[lang].alias("lang")).mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    got = cells.toPandas()  # at most languages x (BUCKETS + 1) rows
-    seen = np.zeros((len(languages), BUCKETS + 1))
+    got = cells.toPandas()  # at most languages x (buckets + 1) rows, and so TABLE_CELLS and one a language
+    seen = np.zeros((len(languages), buckets + 1))
     seen.ravel()[got["cell"].to_numpy()] = got["n"].to_numpy()
-    docs_of, seen = seen[:, BUCKETS], seen[:, :BUCKETS] + smoothing
+    docs_of, seen = seen[:, buckets], seen[:, :buckets] + smoothing
     table = np.log(seen / seen.sum(axis=1, keepdims=True)).T.astype(np.float32)
     return LanguageModel(languages, np.log(docs_of / docs_of.sum()), np.ascontiguousarray(table))
 

@@ -5,7 +5,10 @@ min_pages of them, hold it. Such lines are dropped from all pages of that host.
 
 Defined cases: a null text stays null and counts as a page without lines; blank lines
 are never boilerplate; null hosts form one host; a page counts a repeated line once, and
-repeated rows count as pages of their own; other columns pass through unchanged.
+repeated rows count as pages of their own; a line held by just `ratio` of the pages stays;
+a very long text is handled whole, row by row in the JVM; an empty table gives no rows;
+other columns pass through unchanged, but that counts of the same names give way to those
+that are asked for.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 
 from . import blocks
 
-_OWN = "__line_dedup_"
+_OWN = "__line_dedup_"  # and as many _ behind it as tell its columns from those of the rows
 
 
 def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = 0.05, min_pages: int = 5) -> DataFrame:
@@ -38,16 +41,17 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text",
 
     The boilerplate lists are broadcast only if they hold at most broadcast_values values.
     """
-    common = blocks.cut(boilerplate(docs, host, text, ratio, min_pages)).toDF(_OWN + "host", _OWN + "lines")
-    size = common.agg(F.sum(F.size(_OWN + "lines") + F.coalesce(F.octet_length(_OWN + "host"), F.lit(0)))).first()[0] or 0
+    own = _OWN + "_" * max(map(len, docs.columns))
+    common = blocks.cut(boilerplate(docs, host, text, ratio, min_pages)).toDF(own + "host", own + "lines")
+    size = common.agg(F.sum(F.size(own + "lines") + F.coalesce(F.octet_length(own + "host"), F.lit(0)))).first()[0] or 0
     if size <= broadcast_values:  # else the rows are shuffled by host, and Spark splits a hot one
         common = F.broadcast(common)
-    joined = docs.join(common, docs[host].eqNullSafe(common[_OWN + "host"]), "left")
+    joined = docs.join(common, docs[host].eqNullSafe(common[own + "host"]), "left")
     lines = F.split(docs[text], "\n")
-    kept = F.when(common[_OWN + "lines"].isNull(), docs[text]).otherwise(F.array_join(F.filter(lines, lambda x: ~F.coalesce(F.array_contains(common[_OWN + "lines"], F.xxhash64(x)), F.lit(False))), "\n"))
-    columns = [kept.alias(c) if c == text else docs[c] for c in docs.columns]
+    kept = F.when(common[own + "lines"].isNull(), docs[text]).otherwise(F.array_join(F.filter(lines, lambda x: ~F.coalesce(F.array_contains(common[own + "lines"], F.xxhash64(x)), F.lit(False))), "\n"))
+    columns = [kept.alias(c) if c == text else docs[c] for c in docs.columns if not (counts and c in ("n_lines", "n_dropped"))]
     if counts:
         n = F.when(docs[text].isNull(), 0).otherwise(F.size(lines))
-        left = F.when(docs[text].isNull(), 0).otherwise(F.size(F.filter(lines, lambda x: ~F.coalesce(F.array_contains(common[_OWN + "lines"], F.xxhash64(x)), F.lit(False)))))
+        left = F.when(docs[text].isNull(), 0).otherwise(F.size(F.filter(lines, lambda x: ~F.coalesce(F.array_contains(common[own + "lines"], F.xxhash64(x)), F.lit(False)))))
         columns += [n.cast("long").alias("n_lines"), (n - left).cast("long").alias("n_dropped")]
     return joined.select(*columns)

@@ -233,3 +233,45 @@ def test_toxicity_counts_all_predecessors(spark):
         assert total == sum(map(len, want.values()))
     assert len(want["common"]) == 700 and len(want["rare"]) == 8
     assert [x.tolist() for x in toxicity.corpus_counts(docs, vocabulary[:0])[:1]] == [[]]
+
+
+CLASHES = ["__rows", "__place", "_", "__", "node", "token", "label", "n", "key", "seg", "copy", "at", "hash", "spans", "runs", "host", "line", "lines", "pages", "held", "n_lines", "n_dropped", "media", "frames", "__line_dedup_host", "y", "bucket", "salt", "item_id", "edits"]
+
+
+def test_clashing_columns_and_ids(spark, rows):
+    """Columns that are called as an operator's own pass through or are not looked at; ids may be null, strings or ints."""
+    bench = spark.createDataFrame([(1, rows[5][1])], "item_id long, text string")
+    for kind in ("int", "string"):
+        base = spark.createDataFrame([(None if i in (3, 5) else i, t, l, s) for i, t, l, s, _ in rows], "doc_id long, text string, lang string, source string").withColumn("doc_id", F.col("doc_id").cast(kind))
+        wide = base.select("*", *[F.lit(7).alias(c) for c in CLASHES])
+        model = langid.fit(wide)
+        made = {
+            "repeats": lambda d: repeats.remove_repeats(d),
+            "leaks": lambda d: decontam.find_leaks(d, bench),
+            "clean": lambda d: decontam.drop_leaks(d, bench),
+            "spans": lambda d: spandedup.remove_repeats(d),
+            "gif": lambda d: gif.digests(gif.store(d)),
+            "language": lambda d: langid.keep_identified(d, model),
+            "near": lambda d: jaccard.near_duplicates(d),
+            "first": lambda d: jaccard.keep_first(d),
+            "lines": lambda d: linededup.drop_boilerplate(d, min_pages=2),
+        }
+        for name, run in made.items():
+            if kind == "int" and name in ("near", "first", "language", "lines"):
+                continue  # these take long, and look at ids in one way only
+            got, plain = run(wide), run(base)
+            if name in ("clean", "first", "lines", "language"):
+                assert got.columns == wide.columns
+            assert sorted(map(repr, got.select(*plain.columns).collect())) == sorted(map(repr, plain.collect())), (kind, name)
+        counted = linededup.drop_boilerplate(wide, min_pages=2, counts=True)
+        assert len(set(counted.columns)) == len(counted.columns) and counted.where("n_lines = 7").count() < counted.count()
+    assert linededup.drop_boilerplate(wide).count() == len(rows)
+
+
+def test_many_languages(spark, monkeypatch):
+    """More languages than the table has room for at full width."""
+    monkeypatch.setattr(langid, "TABLE_CELLS", langid.BUCKETS * 8)
+    made = [(i, " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" * 3 for _ in range(9)), f"l{i % 60:02}") for i in range(240)]
+    data = spark.createDataFrame(made, "doc_id long, text string, lang string")
+    model = langid.fit(data)
+    assert len(model.languages) == 60 and len(model.table) == langid.BUCKETS // 8 and langid.predict(data, model).count() == 240

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def quantize(value: Column, tolerance: float) -> Column:
@@ -13,9 +16,24 @@ def quantize(value: Column, tolerance: float) -> Column:
     return F.when(finite(value).isNull(), value).otherwise(F.rint(value / F.lit(tolerance)))
 
 
+def quantize_as(value: Column, kind: T.DataType, tolerance: float) -> Column:
+    """quantize for a value of any type: numbers inside arrays, structs and maps too; maps as entries by key; other values as they are."""
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: quantize_as(x, kind.elementType, tolerance))
+    if isinstance(kind, T.StructType):
+        fields = sorted(kind.fields, key=lambda f: f.name)
+        return F.when(value.isNotNull(), F.struct(*[quantize_as(value[f.name], f.dataType, tolerance).alias(f.name) for f in fields]))
+    if isinstance(kind, T.MapType):
+        return F.array_sort(F.transform(F.map_entries(value), lambda e: F.struct(e["key"].alias("key"), quantize_as(e["value"], kind.valueType, tolerance).alias("value"))))
+    if isinstance(kind, T.NumericType):
+        return quantize(value.cast("double"), tolerance)
+    return value
+
+
 def quantize_text(value: Column, tolerance: float) -> Column:
-    """As text; null, NaN and infinite values all are 'non_finite'."""
-    return F.coalesce(F.rint(finite(value) / F.lit(tolerance)).cast("bigint").cast("string"), F.lit("non_finite"))
+    """As text; null, NaN and infinite values all are 'non_finite'. Multiples beyond 64 bits are written as doubles."""
+    n = F.rint(finite(value) / F.lit(tolerance))
+    return F.coalesce(n.try_cast("bigint").cast("string"), n.cast("string"), F.lit("non_finite"))
 
 
 def finite(value: Column) -> Column:
@@ -37,8 +55,102 @@ def significant(value: Column, digits: int = 4) -> Column:
     return F.when(F.abs(value) < 1e-9, F.lit(0.0)).otherwise(F.rint(value / unit) * unit)
 
 
+def significant_text(value: Column) -> Column:
+    """Four significant digits, as text with up to four decimals and no zeros at the end; null stays null."""
+    text = F.format_string("%.4f", significant(value.cast("double")))
+    return F.when(value.isNotNull(), F.regexp_replace(F.regexp_replace(text, "0+$", ""), "\\.$", ""))
+
+
 def number(text: Column) -> Column:
-    return F.try_cast(F.trim(text), "double") if hasattr(F, "try_cast") else F.trim(text).try_cast("double")
+    """The number that a text spells, 'nan' and 'inf' among them; null for others."""
+    return F.trim(text.cast("string")).try_cast("double")
+
+
+def clean(text: Column) -> Column:
+    """Without white space at the ends; null is empty."""
+    return F.trim(F.coalesce(text.cast("string"), F.lit("")))
+
+
+CONFIRMED = "已确认"  # fixed value: the status of a confirmed quantity
+
+
+def confirmed(quantity: Column) -> Column:
+    """The number of an evidence struct (value_mm, status, ..) where its status is confirmed, else null."""
+    return F.when(clean(quantity["status"]) == CONFIRMED, quantity["value_mm"].try_cast("double"))
+
+
+def handle_text(handle: Column) -> Column:
+    """A numeric handle in upper-case hexadecimal; zero and null are empty."""
+    return F.when(F.coalesce(handle, F.lit(0)) == 0, F.lit("")).otherwise(F.hex(handle))
+
+
+# fixed values: what notifications begin with, and the group that they are counted in
+MESSAGES = (("Entity in SortEntitiesTable ", "Entity in SortEntitiesTable not found"), ("Entry not found ", "Dictionary entry not found"))
+UNLISTED = ("Unlisted object with DXF name ", " has been")
+
+
+def message_group(message: Column) -> Column:
+    """What a notification is counted as: the part that does not name one object."""
+    start, stop = UNLISTED
+    out = F.when(message.startswith(start), F.substring_index(message, stop, 1))
+    for begin, group in MESSAGES:
+        out = out.when(message.startswith(begin), F.lit(group))
+    return out.otherwise(message)
+
+
+def first_known(*cases: tuple[Column, Column]) -> Column:
+    """The value of the first case whose condition holds and whose value is known."""
+    return F.coalesce(*[F.when(condition, value) for condition, value in cases])
+
+
+#: fixed values: class names of records and the type that they are compared as
+TYPE_NAMES = {"DBText": "TEXT", "MText": "MTEXT", "AttributeDefinition": "ATTDEF", "AttributeReference": "ATTRIB", "BlockReference": "INSERT"}
+
+
+def type_name(kind: Column, names: dict[str, str] = TYPE_NAMES) -> Column:
+    """The common name of a record's class; others in upper case."""
+    out = None
+    for k, v in names.items():
+        out = F.when(kind == k, v) if out is None else out.when(kind == k, v)
+    return out.otherwise(F.upper(kind))
+
+
+def paper_viewport(flag: Column, number_: Column) -> Column:
+    """The flag where there is one, else whether the number is 1, else false."""
+    return F.coalesce(flag, number_.try_cast("int") == 1, F.lit(False))
+
+
+def finite_rules(df: DataFrame, skip: tuple[str, ...] = ()) -> list[tuple[str, Column]]:
+    """A rule for each number anywhere in the schema, named by its path: broken where the number is NaN or infinite."""
+
+    def bad(value: Column, kind: T.DataType) -> Column | None:
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            return F.isnan(value) | (F.abs(value) == float("inf"))
+        if isinstance(kind, T.ArrayType):
+            return None if not _numbers(kind) else F.exists(value, lambda x: F.coalesce(bad(x, kind.elementType), F.lit(False)))
+        if isinstance(kind, T.StructType):
+            found = [b for f in kind.fields if (b := bad(value[f.name], f.dataType)) is not None]
+            return None if not found else reduce(lambda a, b: F.coalesce(a, F.lit(False)) | F.coalesce(b, F.lit(False)), found)
+        return None
+
+    def walk(value: Column, kind: T.DataType, path: str):
+        if isinstance(kind, T.StructType):
+            for f in kind.fields:
+                yield from walk(value[f.name], f.dataType, f"{path}.{f.name}" if path else f.name)
+        elif (isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType)):
+            yield f"{path}[]", F.exists(value, lambda x: F.coalesce(bad(x, kind.elementType), F.lit(False))) if _numbers(kind) else F.lit(False)
+        elif _numbers(kind):
+            yield path, F.coalesce(bad(value, kind), F.lit(False))
+
+    return [(f"{path} is not finite", rule) for f in df.schema.fields if f.name not in skip for path, rule in walk(F.col(f.name), f.dataType, f.name)]
+
+
+def _numbers(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _numbers(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_numbers(f.dataType) for f in kind.fields)
+    return isinstance(kind, (T.DoubleType, T.FloatType))
 
 
 def safe_name(name: Column) -> Column:
@@ -49,6 +161,17 @@ def non_blank(text: Column) -> Column:
     return F.coalesce(text.rlike("(?U)\\S"), F.lit(False))
 
 
+def names(kind: Column, word: str) -> Column:
+    """Whether a type's name has a word in it, in any case."""
+    return F.coalesce(F.contains(F.lower(kind), F.lit(word.lower())), F.lit(False))
+
+
+def selected(name: Column, effective: Column, handle: Column, name_pattern: str, handle_pattern: str | None = None) -> Column:
+    """Roots to expand: the own or the effective name matches in any case, and the handle too where a pattern is given."""
+    hit = name.rlike(f"(?i){name_pattern}") | effective.rlike(f"(?i){name_pattern}")
+    return F.coalesce(hit & handle.rlike(f"(?i){handle_pattern}") if handle_pattern else hit, F.lit(False))
+
+
 def version_number(code: Column) -> Column:
     """AC1032 -> 1032; null for other codes."""
     return F.when(code.rlike("^AC[0-9]{4}$"), F.substring(code, 3, 4).cast("int"))
@@ -58,23 +181,6 @@ def is_sha256(text: Column) -> Column:
     return text.rlike("^[0-9A-Fa-f]{64}$")
 
 
-def affine(x: Column, y: Column, m: Column) -> tuple[Column, Column]:
-    """A point under a struct (a, b, c, d, tx, ty)."""
-    return m["a"] * x + m["b"] * y + m["tx"], m["c"] * x + m["d"] * y + m["ty"]
-
-
-def rotation(dx: Column, dy: Column, positive: bool = False) -> Column:
-    """Angle in (-pi, pi], or in [0, 2 pi)."""
-    angle = F.atan2(dy, dx)
-    return F.when(angle < 0, angle + F.lit(2 * 3.141592653589793)).otherwise(angle) if positive else angle
-
-
-def envelope(points: list[tuple[Column, Column]]) -> tuple[Column, Column, Column, Column]:
-    """min x, min y, max x, max y of corner points."""
-    xs, ys = [p[0] for p in points], [p[1] for p in points]
-    return F.least(*xs), F.least(*ys), F.greatest(*xs), F.greatest(*ys)
-
-
 def reasons(*pairs: tuple[Column, str], default: str = "") -> Column:
     """The texts whose condition holds, in order, joined by ;"""
     text = F.concat_ws(";", *[F.when(c, F.lit(t)) for c, t in pairs])

@@ -35,3 +35,17 @@ def decide(*cases: tuple[Column, str], default: str) -> Column:
     for condition, value in cases:
         out = F.when(condition, value) if out is None else out.when(condition, value)
     return out.otherwise(default)
+
+
+def drawing_status(*counts: Column) -> Column:
+    """'unresolved' where any of the counts (notifications, issues, unsupported types, uneven scales) is over zero."""
+    some = None
+    for c in counts:
+        some = (c > 0) if some is None else some | (c > 0)
+    return F.when(some, "unresolved").otherwise("complete")
+
+
+def leaves(df: DataFrame, parents: DataFrame, parent: str, alike: str, area: str, least: int = 2, share: float = 0.05) -> DataFrame:
+    """(parent, alike, leaves): groups of at least so many alike rows of one parent, of at most a share of parent_area each."""
+    small = df.join(parents, parent).where(F.col(area) <= F.lit(share) * F.col("parent_area"))
+    return small.groupBy(parent, alike).agg(F.count("*").alias("leaves")).where(F.col("leaves") >= least)

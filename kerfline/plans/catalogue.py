@@ -1,52 +1,15 @@
-"""The registered queries, and the SQL that each is held against.
-
-Queries built from the package's operators have SQL of their own. The rest are plain
-relational plans that Spark and the oracle can both take from one SQL text.
-"""
+"""The registered queries of comparisons and hierarchies, and the SQL that each is held against; those of records are in records.py."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import scalar
-from ..operators import diff, hierarchy, rules
+from ..functions import geometry, scalar
+from ..operators import diff, hierarchy, ordering, rules
 from ..sources import exports
-
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def portable(name: str, sql: str) -> None:
-    """Registers one SQL text for both sides."""
-    used = [t for t in TABLES if re.search(rf"\b{t}\b", sql)]
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        frames = {f"t_{t}": table(spark, sf_dir, t) for t in used}
-        text = re.sub(r"\b(FROM|JOIN) (" + "|".join(used) + r")\b", r"\1 {t_\2}", sql)
-        return spark.sql(text, **frames)
-
-    run.__name__ = name
-    QUERIES[name] = run
-    SQL[name] = sql
-
+from . import records  # noqa: F401  registers its queries
+from .registry import QUERIES, SQL, TABLES, query, table
 
 def edited_lineitem(spark, sf_dir):
     """A second export: some keys gone, some prices off by a cent."""
@@ -80,8 +43,8 @@ d AS (SELECT coalesce(l.key, r.key) AS key, l.key IS NULL AS ro, r.key IS NULL A
 
 
 @query(_KEYED_ROWS + """
-SELECT count_if(lo)::BIGINT AS left_only, count_if(ro)::BIGINT AS right_only, count_if(NOT lo AND NOT ro AND f = '')::BIGINT AS matched, count_if(NOT lo AND NOT ro AND f <> '')::BIGINT AS mismatched,
-       count_if(lo OR ro OR f <> '') = 0 AS consistent FROM d""")
+SELECT count_if(NOT ro)::BIGINT AS left_count, count_if(NOT lo)::BIGINT AS right_count, count_if(lo)::BIGINT AS left_only, count_if(ro)::BIGINT AS right_only, count_if(NOT lo AND NOT ro)::BIGINT AS common,
+       count_if(NOT lo AND NOT ro AND f = '')::BIGINT AS matched, count_if(NOT lo AND NOT ro AND f <> '')::BIGINT AS mismatched, 0::BIGINT AS repeated_keys, count_if(lo OR ro OR f <> '') = 0 AS consistent FROM d""")
 def keyed_diff_orders(spark, sf_dir):
     return diff.keyed_diff(table(spark, sf_dir, "orders"), edited_orders(spark, sf_dir), "o_orderkey", ["o_orderstatus", "o_totalprice"], 0.001)
 
@@ -92,13 +55,24 @@ def keyed_diff_examples(spark, sf_dir):
 
 
 @query("""
-WITH l AS (SELECT l_orderkey::VARCHAR AS k, l_linenumber AS n, l_quantity AS q FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC) = 1)
-SELECT (SELECT count(*) FROM lineitem) AS rows_in, count(*) AS keys, sum(n)::BIGINT AS sum_last_line, (SELECT count(*) FROM lineitem) - count(*) AS collapsed, (SELECT count(*) FROM lineitem) = count(*) AS consistent FROM l""")
+WITH rows_of AS (SELECT CASE WHEN l_orderkey % 50 = 0 THEN 'None' ELSE l_orderkey::VARCHAR END AS k, l_linenumber AS n, l_partkey AS p, l_suppkey AS s, round_even(l_extendedprice / 0.001, 0) AS v FROM lineitem),
+l AS (SELECT k, count(*) AS c, max({'n': n, 'p': p, 's': s, 'v': v}) AS r FROM rows_of GROUP BY k),
+r AS (SELECT k, count(*) AS c, max({'n': n, 'p': p, 's': s, 'v': v}) AS r FROM rows_of WHERE n < 6 GROUP BY k)
+SELECT sum(l.c)::BIGINT AS left_count, coalesce(sum(r.c), 0)::BIGINT AS right_count, count_if(r.k IS NULL)::BIGINT AS left_only, count_if(l.k IS NULL)::BIGINT AS right_only, count_if(l.k IS NOT NULL AND r.k IS NOT NULL)::BIGINT AS common,
+       count_if(l.r.n = r.r.n AND l.r.v = r.r.v)::BIGINT AS matched, count_if(l.r.n <> r.r.n OR l.r.v <> r.r.v)::BIGINT AS mismatched, count_if(l.c > 1 OR r.c > 1)::BIGINT AS repeated_keys, false AS consistent
+FROM l FULL JOIN r ON l.k = r.k""")
 def keyed_diff_duplicates(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem")
-    last = diff.last_of(rows, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"])
-    total = rows.agg(F.count("*").alias("rows_in"))
-    return last.agg(F.count("*").alias("keys"), F.sum("l_linenumber").alias("sum_last_line")).crossJoin(total).selectExpr("rows_in", "keys", "sum_last_line", "rows_in - keys AS collapsed", "rows_in = keys AS consistent")
+    """Many rows a key and null keys: the last one stands for each, and the sides are not consistent."""
+    rows = table(spark, sf_dir, "lineitem").withColumn("key", F.expr("CASE WHEN l_orderkey % 50 <> 0 THEN l_orderkey END"))
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    return diff.keyed_diff(rows, rows.where("l_linenumber < 6"), "key", ["l_linenumber", "l_extendedprice"], 0.001, order)
+
+
+@query("""SELECT k AS key, n AS l_linenumber, p AS l_partkey FROM (SELECT CASE WHEN l_orderkey % 50 = 0 THEN 'None' ELSE l_orderkey::VARCHAR END AS k, l_linenumber AS n, l_partkey AS p, l_suppkey AS s FROM lineitem) x
+QUALIFY row_number() OVER (PARTITION BY k ORDER BY n DESC, p DESC, s DESC) = 1""")
+def last_records(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").withColumn("key", F.expr("CASE WHEN l_orderkey % 50 <> 0 THEN l_orderkey END"))
+    return diff.last_of(rows, "key", ["l_linenumber", "l_partkey", "l_suppkey"]).select("key", "l_linenumber", "l_partkey")
 
 
 @query("WITH bag AS (" + _BAG + "), keyed AS (" + _KEYED_ROWS + """ SELECT count_if(lo)::BIGINT AS a, count_if(ro)::BIGINT AS b, count_if(NOT lo AND NOT ro AND f = '')::BIGINT AS c FROM d)
@@ -115,30 +89,26 @@ def compare_summary(spark, sf_dir):
 
 
 def geography(spark, sf_dir):
-    """Edges region -> nation -> supplier, with the child's own flags."""
-    nation, supplier = table(spark, sf_dir, "nation"), table(spark, sf_dir, "supplier")
-    a = nation.selectExpr("concat('R', n_regionkey) AS parent", "concat('N', n_nationkey) AS child", "n_nationkey % 7 <> 0 AS visible", "CASE WHEN n_nationkey % 3 = 0 THEN '0' ELSE n_name END AS layer")
-    b = supplier.selectExpr("concat('N', s_nationkey) AS parent", "concat('S', s_suppkey) AS child", "s_acctbal >= 0 AS visible", "CASE WHEN s_suppkey % 2 = 0 THEN '0' ELSE s_name END AS layer")
-    return a.unionByName(b)
+    """Edges region -> nation -> customer -> order, with the child's own flags and layer."""
+    nation, customer, orders = (table(spark, sf_dir, t) for t in ("nation", "customer", "orders"))
+    a = nation.selectExpr("concat('R', n_regionkey) AS parent", "concat('N', n_nationkey) AS child", "n_nationkey % 7 <> 0 AS visible", "n_nationkey % 5 <> 0 AS plottable", "CASE WHEN n_nationkey % 3 = 0 THEN '0' ELSE n_name END AS layer")
+    b = customer.selectExpr("concat('N', c_nationkey) AS parent", "concat('C', c_custkey) AS child", "c_acctbal >= 0 AS visible", "c_custkey % 4 <> 0 AS plottable", "CASE WHEN c_custkey % 2 = 0 THEN '0' WHEN c_custkey % 11 <> 0 THEN c_mktsegment END AS layer")
+    c = orders.selectExpr("concat('C', o_custkey) AS parent", "concat('O', o_orderkey) AS child", "o_orderstatus <> 'P' AS visible", "true AS plottable", "CASE WHEN o_orderkey % 3 = 0 THEN '0' ELSE o_orderpriority END AS layer")
+    return a.unionByName(b).unionByName(c)
 
 
 _GEO = """
-WITH RECURSIVE edges AS (SELECT 'R' || n_regionkey AS parent, 'N' || n_nationkey AS child, n_nationkey % 7 <> 0 AS visible, CASE WHEN n_nationkey % 3 = 0 THEN '0' ELSE n_name END AS layer FROM nation
- UNION ALL SELECT 'N' || s_nationkey, 'S' || s_suppkey, s_acctbal >= 0, CASE WHEN s_suppkey % 2 = 0 THEN '0' ELSE s_name END FROM supplier),
-x AS (SELECT 'R' || r_regionkey AS node, 'R' || r_regionkey AS path, 0 AS depth, r_regionkey <> 1 AS visible, r_name AS layer FROM region
- UNION ALL SELECT e.child, x.path || '/' || e.child, x.depth + 1, x.visible AND e.visible, CASE WHEN e.layer = '0' THEN x.layer ELSE e.layer END FROM x JOIN edges e ON x.node = e.parent)"""
+WITH RECURSIVE edges AS (SELECT 'R' || n_regionkey AS parent, 'N' || n_nationkey AS child, n_nationkey % 7 <> 0 AS visible, n_nationkey % 5 <> 0 AS plottable, CASE WHEN n_nationkey % 3 = 0 THEN '0' ELSE n_name END AS layer FROM nation
+ UNION ALL SELECT 'N' || c_nationkey, 'C' || c_custkey, c_acctbal >= 0, c_custkey % 4 <> 0, CASE WHEN c_custkey % 2 = 0 THEN '0' WHEN c_custkey % 11 <> 0 THEN c_mktsegment END FROM customer
+ UNION ALL SELECT 'C' || o_custkey, 'O' || o_orderkey, o_orderstatus <> 'P', true, CASE WHEN o_orderkey % 3 = 0 THEN '0' ELSE o_orderpriority END FROM orders),
+x AS (SELECT 'R' || r_regionkey AS node, 'R' || r_regionkey AS path, 0 AS depth, r_regionkey <> 1 AS visible, true AS plottable, r_regionkey <> 1 AS own, true AS above, r_name AS layer, r_name AS own_layer FROM region
+ UNION ALL SELECT e.child, x.path || '/' || e.child, x.depth + 1, x.visible AND e.visible, x.plottable AND e.plottable, e.visible, x.visible, CASE WHEN e.layer = '0' AND x.layer IS NOT NULL THEN x.layer ELSE e.layer END, e.layer FROM x JOIN edges e ON x.node = e.parent)"""
 
 
-def _expanded(spark, sf_dir):
-    roots = table(spark, sf_dir, "region").selectExpr("concat('R', r_regionkey) AS node", "r_regionkey <> 1 AS visible", "r_name AS layer")
-    carry = {"visible": F.expr("p.visible AND e.visible"), "layer": F.expr("CASE WHEN e.layer = '0' THEN p.layer ELSE e.layer END")}
-    level = roots.select("node", F.array("node").alias("path"), F.lit(0).alias("depth"), "visible", "layer")
-    out, edges = level, geography(spark, sf_dir)
-    for _ in range(2):
-        step = level.alias("p").join(edges.alias("e"), F.col("p.node") == F.col("e.parent"))
-        level = step.select(F.col("e.child").alias("node"), F.concat("p.path", F.array("e.child")).alias("path"), (F.col("p.depth") + 1).alias("depth"), *[v.alias(k) for k, v in carry.items()])
-        out = out.unionByName(level)
-    return out.withColumn("path", F.array_join("path", "/"))
+def _expanded(spark, sf_dir, where: str = "true"):
+    roots = table(spark, sf_dir, "region").where(where).selectExpr("concat('R', r_regionkey) AS node", "r_regionkey <> 1 AS visible", "true AS plottable", "r_regionkey <> 1 AS own", "true AS above", "r_name AS layer", "r_name AS own_layer")
+    carry = {**hierarchy.inherited_flags("visible", "plottable"), "own": F.col("e.visible"), "above": F.col("p.visible"), "layer": hierarchy.inherited_layer(F.col("e.layer"), F.col("p.layer")), "own_layer": F.col("e.layer")}
+    return hierarchy.expand(geography(spark, sf_dir), roots, carry).withColumn("path", F.array_join("path", "/"))
 
 
 @query(_GEO + " SELECT path, depth FROM x")
@@ -146,50 +116,30 @@ def expand_geo_paths(spark, sf_dir):
     return _expanded(spark, sf_dir).select("path", "depth")
 
 
-@query(_GEO + " SELECT path, layer AS effective_layer FROM x")
+@query(_GEO + " SELECT path, layer AS effective_layer, own_layer = '0' AS inherits FROM x")
 def inherit_layer_zero(spark, sf_dir):
-    return _expanded(spark, sf_dir).selectExpr("path", "layer AS effective_layer")
+    return _expanded(spark, sf_dir).selectExpr("path", "layer AS effective_layer", "own_layer = '0' AS inherits")
 
 
-@query(_GEO + " SELECT path, visible AS effective_visible, CASE WHEN visible THEN 'visible' ELSE 'hidden_by_ancestor_or_self' END AS reason FROM x")
+@query(_GEO + """ SELECT path, visible AS effective_visible, plottable AS effective_plottable,
+CASE WHEN visible THEN 'visible' ELSE concat_ws(';', CASE WHEN NOT own THEN 'entity_hidden' END, CASE WHEN NOT above THEN 'parent_hidden' END) END AS reason FROM x""")
 def inherit_visibility(spark, sf_dir):
-    return _expanded(spark, sf_dir).select("path", F.col("visible").alias("effective_visible"), scalar.reasons((~F.col("visible"), "hidden_by_ancestor_or_self"), default="visible").alias("reason"))
+    reason = scalar.reasons((~F.col("own"), "entity_hidden"), (~F.col("above"), "parent_hidden"), default="visible")
+    return _expanded(spark, sf_dir).select("path", F.col("visible").alias("effective_visible"), F.col("plottable").alias("effective_plottable"), reason.alias("reason"))
 
 
 @query(_GEO + " SELECT depth, count(*) AS occurrences, count(DISTINCT layer) AS layers FROM x WHERE path LIKE 'R2%' GROUP BY depth")
 def fanout_expand(spark, sf_dir):
-    return _expanded(spark, sf_dir).where("path LIKE 'R2%'").groupBy("depth").agg(F.count("*").alias("occurrences"), F.count_distinct("layer").alias("layers"))
-
-
-_PARTS = "SELECT p_partkey AS parent, (p_partkey * 7) % 50 AS child FROM part WHERE p_partkey BETWEEN 1 AND 49"
-
-
-@query("WITH RECURSIVE edges AS (" + _PARTS + """), x AS (SELECT 1::BIGINT AS node, [1::BIGINT] AS path, false AS stopped
- UNION ALL SELECT e.child, list_append(x.path, e.child), list_contains(x.path, e.child) FROM x JOIN edges e ON x.node = e.parent WHERE NOT x.stopped)
-SELECT node, array_to_string(path, '/') AS path, stopped FROM x""")
-def expand_instances_cycle(spark, sf_dir):
-    edges = table(spark, sf_dir, "part").where("p_partkey BETWEEN 1 AND 49").selectExpr("p_partkey AS parent", "(p_partkey * 7) % 50 AS child")
-    out = hierarchy.expand(edges, spark.range(1, 2).toDF("node"), max_depth=60)
-    return out.select("node", F.array_join(F.col("path").cast("array<string>"), "/").alias("path"), "stopped")
-
+    """Only what one root holds: the filter is put before the expansion."""
+    return _expanded(spark, sf_dir, "r_regionkey = 2").groupBy("depth").agg(F.count("*").alias("occurrences"), F.count_distinct("layer").alias("layers"))
 
-_REACH = "WITH RECURSIVE edges AS (" + _PARTS + "), x AS (SELECT 1::BIGINT AS node UNION SELECT e.child FROM x JOIN edges e ON x.node = e.parent)"
 
-
-def _reached(spark, sf_dir):
-    edges = table(spark, sf_dir, "part").where("p_partkey BETWEEN 1 AND 49").selectExpr("p_partkey AS parent", "(p_partkey * 7) % 50 AS child")
-    return hierarchy.reachable(edges, spark.range(1, 2).toDF("node"))
-
-
-@query(_REACH + " SELECT node FROM x")
-def reachable_nodes(spark, sf_dir):
-    return _reached(spark, sf_dir)
-
-
-@query(_REACH + " SELECT l_partkey, count(*) AS n FROM lineitem WHERE l_partkey IN (SELECT node FROM x) GROUP BY l_partkey")
-def reachable_content(spark, sf_dir):
-    nodes = _reached(spark, sf_dir)
-    return table(spark, sf_dir, "lineitem").join(nodes, F.col("l_partkey") == nodes["node"], "left_semi").groupBy("l_partkey").agg(F.count("*").alias("n"))
+@query(_GEO + """, cut AS (SELECT path, depth, CASE WHEN depth = 2 AND EXISTS (SELECT 1 FROM edges WHERE parent = x.node) THEN 'depth' END AS issue FROM x WHERE depth <= 2)
+SELECT issue, count(*) AS n FROM cut GROUP BY issue""")
+def expand_depth_issues(spark, sf_dir):
+    """Occurrences that a limit of depth leaves unexpanded carry an issue."""
+    roots = table(spark, sf_dir, "region").selectExpr("concat('R', r_regionkey) AS node")
+    return hierarchy.expand(geography(spark, sf_dir), roots, max_depth=2, at_depth="issue").groupBy("issue").agg(F.count("*").alias("n"))
 
 
 _ALL_PARTS = "WITH RECURSIVE edges AS (SELECT p_partkey AS parent, (p_partkey * 7) % (SELECT count(*) FROM part) AS child FROM part), "
@@ -205,7 +155,7 @@ def _part_links(spark, sf_dir):
 @query(_ALL_PARTS + """x AS (SELECT p_partkey AS node, [p_partkey] AS path, false AS stopped FROM part WHERE p_brand = 'Brand#7'
  UNION ALL SELECT e.child, list_append(x.path, e.child), list_contains(x.path, e.child) FROM x JOIN edges e ON x.node = e.parent WHERE NOT x.stopped)
 SELECT node, array_to_string(path, '/') AS path, stopped FROM x""")
-def expand_part_instances(spark, sf_dir):
+def expand_instances_cycle(spark, sf_dir):
     edges, roots, size = _part_links(spark, sf_dir)
     out = hierarchy.expand(edges, roots, max_depth=size + 1)  # no path without a repeat is longer
     return out.select("node", F.array_join(F.col("path").cast("array<string>"), "/").alias("path"), "stopped")
@@ -215,14 +165,14 @@ _REACH_PARTS = _ALL_PARTS + "x AS (SELECT p_partkey AS node FROM part WHERE p_br
 
 
 @query(_REACH_PARTS + " SELECT node FROM x")
-def reachable_parts(spark, sf_dir):
+def reachable_nodes(spark, sf_dir):
     edges, roots, size = _part_links(spark, sf_dir)
     return hierarchy.reachable(edges, roots, max_rounds=size + 1)
 
 
 @query(_REACH_PARTS + " SELECT l_partkey, count(*) AS n FROM lineitem WHERE l_partkey IN (SELECT node FROM x) GROUP BY l_partkey")
-def reachable_part_content(spark, sf_dir):
-    nodes = reachable_parts(spark, sf_dir)
+def reachable_content(spark, sf_dir):
+    nodes = reachable_nodes(spark, sf_dir)
     return table(spark, sf_dir, "lineitem").join(nodes, F.col("l_partkey") == nodes["node"], "left_semi").groupBy("l_partkey").agg(F.count("*").alias("n"))
 
 
@@ -246,17 +196,20 @@ _M = "0.8660254037844387 * {x} - 0.5 * {y} + 100"
 _N = "0.5 * {x} + 0.8660254037844387 * {y} + 200"
 
 
-@query(f"SELECT p_partkey, round({_M.format(x='p_size', y='p_retailprice')}, 6) AS x, round({_N.format(x='p_size', y='p_retailprice')}, 6) AS y FROM part")
+@query(f"""SELECT p_partkey, round(x, 6) AS x, round(y, 6) AS y, round(2 * x - y, 6) AS chained_x, round(x + 3 * y, 6) AS chained_y FROM
+(SELECT p_partkey, {_M.format(x='p_size', y='p_retailprice')} AS x, {_N.format(x='p_size', y='p_retailprice')} AS y FROM part) p""")
 def affine_points(spark, sf_dir):
-    m = F.struct(F.lit(0.8660254037844387).alias("a"), F.lit(-0.5).alias("b"), F.lit(0.5).alias("c"), F.lit(0.8660254037844387).alias("d"), F.lit(100.0).alias("tx"), F.lit(200.0).alias("ty"))
-    x, y = scalar.affine(F.col("p_size").cast("double"), F.col("p_retailprice"), m)
-    return table(spark, sf_dir, "part").select("p_partkey", F.round(x, 6).alias("x"), F.round(y, 6).alias("y"))
+    m, outer = geometry.matrix(0.8660254037844387, -0.5, 0.5, 0.8660254037844387, 100, 200), geometry.matrix(2, -1, 1, 3, 0, 0)
+    at = F.col("p_size").cast("double"), F.col("p_retailprice")
+    (x, y), (u, v) = geometry.point(m, *at), geometry.through([m, outer], *at)
+    return table(spark, sf_dir, "part").select("p_partkey", *[F.round(c, 6).alias(n) for c, n in ((x, "x"), (y, "y"), (u, "chained_x"), (v, "chained_y"))])
 
 
 @query("SELECT vec_id, round(atan2(embedding[2]::DOUBLE, embedding[1]::DOUBLE), 9) AS signed, round(CASE WHEN atan2(embedding[2]::DOUBLE, embedding[1]::DOUBLE) < 0 THEN atan2(embedding[2]::DOUBLE, embedding[1]::DOUBLE) + 2 * pi() ELSE atan2(embedding[2]::DOUBLE, embedding[1]::DOUBLE) END, 9) AS positive FROM embeddings")
 def rotation_norm(spark, sf_dir):
     dx, dy = F.col("embedding")[0].cast("double"), F.col("embedding")[1].cast("double")
-    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(scalar.rotation(dx, dy), 9).alias("signed"), F.round(scalar.rotation(dx, dy, True), 9).alias("positive"))
+    m = geometry.matrix(dx, -dy, dy, dx, 0, 0)  # turns by the angle of (dx, dy), and stretches
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(geometry.turned(m, F.lit(0.0)), 9).alias("signed"), F.round(geometry.turned(m, F.lit(0.0), True), 9).alias("positive"))
 
 
 @query("SELECT sha256(text) AS sha256, count(*) AS copies, min(doc_id) AS first_id FROM documents GROUP BY 1 HAVING count(*) > 1")
@@ -264,70 +217,28 @@ def exact_duplicates(spark, sf_dir):
     return table(spark, sf_dir, "documents").groupBy(F.sha2(F.col("text").cast("binary"), 256).alias("sha256")).agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id")).where("copies > 1")
 
 
-@query("SELECT c_custkey, c_nationkey FROM customer QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY sha256(c_custkey::VARCHAR)) <= 2")
+@query("SELECT c_custkey, c_nationkey FROM customer QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY sha256(c_custkey::VARCHAR)) <= 1 + c_nationkey % 3")
 def stratified_sample(spark, sf_dir):
-    from pyspark.sql import Window
-
-    place = F.row_number().over(Window.partitionBy("c_nationkey").orderBy(F.sha2(F.col("c_custkey").cast("string").cast("binary"), 256)))
-    return table(spark, sf_dir, "customer").withColumn("place", place).where("place <= 2").select("c_custkey", "c_nationkey")
+    return ordering.stratified(table(spark, sf_dir, "customer"), "c_nationkey", "c_custkey", 1 + F.col("c_nationkey") % 3).select("c_custkey", "c_nationkey")
 
 
-@query("SELECT r_regionkey AS key, r_name AS name, NULL::INTEGER AS parent FROM region UNION ALL BY NAME SELECT n_nationkey AS key, n_name AS name, n_regionkey AS parent FROM nation")
+@query("""SELECT list_sort(list_distinct(list_concat(['r_regionkey', 'r_name'], ['n_nationkey', 'n_name', 'r_regionkey'])))[1] AS first_column, count(*) AS n, count(n_name) AS named FROM
+(SELECT r_regionkey, r_name, NULL AS n_nationkey, NULL AS n_name FROM region UNION ALL SELECT n_regionkey, NULL, n_nationkey, n_name FROM nation) u""")
 def schema_union(spark, sf_dir):
-    region = table(spark, sf_dir, "region").selectExpr("r_regionkey AS key", "r_name AS name")
-    return region.unionByName(table(spark, sf_dir, "nation").selectExpr("n_nationkey AS key", "n_name AS name", "n_regionkey AS parent"), allowMissingColumns=True)
+    """Rows of both sides under the union of their columns; what one lacks is null."""
+    region, nation = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation").withColumnRenamed("n_regionkey", "r_regionkey")
+    columns = diff.common_columns(region, nation, "")
+    rows = diff.union_all([region, nation]).select(*columns)
+    return rows.agg(F.lit(columns[0]).alias("first_column"), F.count("*").alias("n"), F.count("n_name").alias("named"))
 
 
-@query("SELECT CASE WHEN event_id % 11 = 0 THEN 'non_finite' ELSE round_even(value / 0.5, 0)::BIGINT::VARCHAR END AS signature, count(*) AS n FROM events GROUP BY 1")
+@query("SELECT CASE WHEN event_id % 11 = 0 THEN 'non_finite' ELSE round_even(value / 0.5, 0)::BIGINT::VARCHAR END AS signature, count(*) AS n FROM events WHERE event_id % 13 <> 0 GROUP BY 1")
 def bag_diff_null_signatures(spark, sf_dir):
     value = F.when(F.col("event_id") % 22 == 0, F.lit(float("nan"))).when(F.col("event_id") % 11 == 0, F.lit(None)).otherwise(F.col("value"))
-    return table(spark, sf_dir, "events").groupBy(scalar.quantize_text(value, 0.5).alias("signature")).agg(F.count("*").alias("n"))
+    signature = F.when(F.col("event_id") % 13 != 0, scalar.quantize_text(value, 0.5))  # records without one are not counted
+    return diff.signature_counts(table(spark, sf_dir, "events"), signature)
 
 
 @query()
 def file_snapshot(spark, sf_dir):
     return exports.snapshot(spark, f"{sf_dir}/region.parquet").select("sha256", "bytes", "version")
-
-
-for _name, _sql in {
-    "type_histogram": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
-    "histogram_ci": "SELECT lower(t) AS type, min_by(t, event_id) AS spelling, count(*) AS n FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN upper(event_type) ELSE event_type END AS t FROM events) AS e GROUP BY lower(t)",
-    "text_fingerprint": "SELECT lang, source, text, count(*) AS n, min(doc_id) AS first_id FROM documents GROUP BY lang, source, text",
-    "block_fingerprint": "SELECT lower(o_orderstatus) AS status, o_orderpriority AS priority, count(CASE WHEN o_totalprice > 100000 THEN 1 END) AS layout_count, count(CASE WHEN NOT o_totalprice > 100000 THEN 1 END) AS definition_count FROM orders GROUP BY lower(o_orderstatus), o_orderpriority",
-    "sorted_distinct": "SELECT DISTINCT lower(p_brand) AS brand FROM part",
-    "geometry_signature": "SELECT l_suppkey, min(l_quantity) AS min_q, max(l_quantity) - min(l_quantity) AS w, count(CASE WHEN l_returnflag = 'A' THEN 1 END) AS n_a, count(CASE WHEN l_returnflag = 'N' THEN 1 END) AS n_n, count(CASE WHEN l_returnflag = 'R' THEN 1 END) AS n_r FROM lineitem GROUP BY l_suppkey",
-    "diagnostic_groups": "SELECT event_type, event_id, place FROM (SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS place FROM events) AS e WHERE place <= 3",
-    "envelopes": "SELECT l_partkey, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, min(l_quantity) AS min_q, max(l_quantity) AS max_q FROM lineitem GROUP BY l_partkey",
-    "status_counts": "SELECT o_orderstatus, count(*) AS n, count(DISTINCT o_custkey) AS customers, count(CASE WHEN abs(o_totalprice - 100000) > 1 THEN 1 END) AS mismatches FROM orders GROUP BY o_orderstatus",
-    "proxy_filter": "SELECT p_partkey, p_type FROM part WHERE lower(p_type) LIKE '%brass%' AND trim(p_name) <> ''",
-    "regex_roots": "SELECT c_custkey, c_name FROM customer WHERE lower(c_name) LIKE '%7' OR c_custkey IN (1, 2, 3)",
-    "interval_containment": "SELECT l_orderkey, l_linenumber FROM lineitem WHERE EXISTS (SELECT 1 FROM (VALUES (0.0, 3.0), (20.0, 22.0), (49.0, 60.0)) AS b(lo, hi) WHERE l_quantity >= b.lo - 1 AND l_quantity <= b.hi + 1)",
-    "semi_consumers": "SELECT o_orderkey FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')",
-    "anti_keys": "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)",
-    "identity_join": "SELECT a.l_orderkey, a.l_linenumber FROM lineitem AS a JOIN lineitem AS b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber AND a.l_partkey = b.l_partkey AND a.l_suppkey = b.l_suppkey AND upper(a.l_returnflag) = upper(b.l_returnflag) WHERE a.l_quantity > 45",
-    "viewport_visibility": "SELECT w.name, count(*) AS n FROM customer AS c JOIN (VALUES ('left', -500.0, 2500.0, 5), ('right', 2500.0, 7500.0, 9), ('off', 9000.0, 12000.0, 3)) AS w(name, lo, hi, frozen) ON c.c_acctbal BETWEEN w.lo AND w.hi AND c.c_nationkey <> w.frozen WHERE w.name <> 'off' GROUP BY w.name",
-    "null_propagating_clearance": "SELECT p_partkey, upper_top - height - lower_top AS clearance, CASE WHEN upper_top IS NULL THEN 'upper_top' WHEN height IS NULL THEN 'height' ELSE '' END AS missing FROM (SELECT p_partkey, CASE WHEN p_partkey % 5 <> 0 THEN p_retailprice END AS upper_top, CASE WHEN p_partkey % 7 <> 0 THEN p_size END AS height, p_size / 2.0 AS lower_top FROM part) AS d",
-    "source_precedence": "SELECT c_custkey, coalesce(CASE WHEN c_custkey % 3 = 0 THEN c_name END, CASE WHEN c_custkey % 3 = 1 THEN n_name END, c_mktsegment) AS reference FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey",
-    "route_order_check": "SELECT conv_id, count(CASE WHEN turn <= before THEN 1 END) AS out_of_order FROM (SELECT conv_id, turn, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before FROM conversations) AS c GROUP BY conv_id",
-    "version_gate": "SELECT p_partkey, CASE WHEN 1000 + p_size <= 1027 THEN 'compatible' WHEN 1000 + p_size <= 1032 THEN 'newer_host_needed' ELSE 'unrecognized' END AS verdict FROM part",
-    "uniqueness_gate": "SELECT 'orders' AS name, count(*) AS n, count(DISTINCT o_orderkey) AS keys FROM orders UNION ALL SELECT 'part', count(*), count(DISTINCT p_partkey) FROM part UNION ALL SELECT 'customer', count(*), count(DISTINCT c_custkey) FROM customer",
-    "latest_in_family": "SELECT o_custkey, o_orderkey FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS place FROM orders) AS o WHERE place = 1",
-    "axis_ratio": "SELECT p_brand, p_partkey, p_retailprice - before AS gap FROM (SELECT p_brand, p_partkey, p_retailprice, lag(p_retailprice) OVER (PARTITION BY p_brand ORDER BY p_retailprice, p_partkey) AS before FROM part) AS p WHERE before IS NOT NULL AND p_retailprice - before > 0.25 * before",
-    "portable_style_compare": "SELECT kind, sum(least(l, r)) AS matched, sum(greatest(l - r, 0)) AS left_only FROM (SELECT CASE WHEN p_size < 15 THEN 'TEXT' WHEN p_size < 30 THEN 'INSERT' ELSE 'LINE' END AS kind, p_brand, count(*) AS l, count(CASE WHEN p_partkey % 9 <> 0 THEN 1 END) AS r FROM part GROUP BY 1, 2) AS c GROUP BY kind",
-    "key_set_ops": "SELECT 'both' AS side, count(*) AS n FROM (SELECT c_custkey FROM customer INTERSECT SELECT o_custkey FROM orders) AS a UNION ALL SELECT 'left', count(*) FROM (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders) AS b",
-    "bag_set_ops": "SELECT 'intersect' AS op, count(*) AS n FROM (SELECT l_suppkey FROM lineitem INTERSECT ALL SELECT s_suppkey FROM supplier) AS a UNION ALL SELECT 'except', count(*) FROM (SELECT l_suppkey FROM lineitem EXCEPT ALL SELECT s_suppkey FROM supplier) AS b",
-    "union_of_kinds": "SELECT c_name AS name, 'direct' AS origin FROM customer UNION ALL SELECT s_name, 'attribute' FROM supplier",
-    "array_subset": "SELECT o_custkey, count(CASE WHEN o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM') THEN 1 END) = 0 AS allowed FROM orders GROUP BY o_custkey",
-    "dimension_lookups": "SELECT s.s_suppkey, coalesce(n.n_name, '') AS nation, coalesce(r.r_name, '') AS region FROM supplier AS s LEFT JOIN nation AS n ON s.s_nationkey = n.n_nationkey AND n.n_nationkey <> 3 LEFT JOIN region AS r ON n.n_regionkey = r.r_regionkey",
-    "beam_style_lookup": "SELECT o_orderkey, coalesce(c_name, '') AS name FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_custkey % 4 <> 0",
-    "counters": "SELECT l_shipmode_like AS flag, count(*) AS n, count(CASE WHEN l_discount = 0 THEN 1 END) AS plain, count(CASE WHEN l_tax = 0 THEN 1 END) AS untaxed FROM (SELECT concat(l_returnflag, l_linestatus) AS l_shipmode_like, l_discount, l_tax FROM lineitem) AS l GROUP BY l_shipmode_like",
-    "capped_scan": "SELECT count(*) AS kept, (SELECT count(*) FROM lineitem) > 20000 AS truncated FROM (SELECT l_orderkey FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 20000) AS c",
-    "ordered_lists": "SELECT p_type, p_brand, row_number() OVER (PARTITION BY p_type ORDER BY p_brand) AS place FROM (SELECT DISTINCT p_type, p_brand FROM part) AS d",
-    "arc_points": "SELECT p_partkey, round(p_size * cos(p_retailprice / 100), 6) AS start_x, round(p_size * sin(p_retailprice / 100), 6) AS start_y, 2 * p_size AS width FROM part",
-    "type_normalise": "SELECT CASE WHEN event_type = 'click' THEN 'TEXT' WHEN event_type = 'view' THEN 'INSERT' ELSE upper(event_type) END AS kind, count(*) AS n FROM events GROUP BY 1",
-    "confirmed_values": "SELECT o_orderkey, CASE WHEN trim(o_orderstatus) = 'F' THEN o_totalprice END AS value FROM orders",
-    "transformed_point_arrays": "SELECT p_partkey, c.role, round(0.6 * (c.x * p_size) - 0.8 * (c.y * p_size) + 10, 6) AS x, round(0.8 * (c.x * p_size) + 0.6 * (c.y * p_size) + 20, 6) AS y FROM part CROSS JOIN (VALUES ('lower_left', 0, 0), ('lower_right', 1, 0), ('upper_right', 1, 1), ('upper_left', 0, 1)) AS c(role, x, y)",
-    "unresolved_status": "SELECT l_suppkey, CASE WHEN max(l_tax) > 0.07 OR min(l_discount) < 0.01 THEN 'unresolved' ELSE 'complete' END AS status FROM lineitem GROUP BY l_suppkey",
-    "leaf_rule": "SELECT a.p_brand, count(*) AS leaves FROM part AS a WHERE a.p_size <= 2 GROUP BY a.p_brand HAVING count(*) >= 2",
-}.items():
-    portable(_name, _sql)

@@ -61,6 +61,19 @@ def significant_text(value: Column) -> Column:
     return F.when(value.isNotNull(), F.regexp_replace(F.regexp_replace(text, "0+$", ""), "\\.$", ""))
 
 
+def general_text(value: Column) -> Column:
+    """A number that is not negative as text with up to six significant digits and no zeros at the end; from a million on, and under a ten-thousandth, with an exponent."""
+    exponent = F.floor(F.log10(F.when(value > 0, value).otherwise(1.0))).cast("int")
+    unit = F.pow(F.lit(10.0), exponent)
+    digits = F.bround(value / unit, 5)  # may come out as 10
+    exponent = F.when(digits >= 10, exponent + 1).otherwise(exponent)
+    digits = F.when(digits >= 10, digits / 10).otherwise(digits)
+    strip = lambda text: F.regexp_replace(F.when(text.contains("."), F.regexp_replace(text, "0+$", "")).otherwise(text), "\\.$", "")
+    plain = strip(F.format_string("%.9f", F.bround(digits * F.pow(F.lit(10.0), exponent), 9)))
+    sign = F.when(exponent < 0, "e-").otherwise("e+")
+    return F.when((exponent >= 6) | (exponent < -4), F.concat(strip(F.format_string("%.5f", digits)), sign, F.lpad(F.abs(exponent).cast("string"), 2, "0"))).otherwise(plain)
+
+
 def number(text: Column) -> Column:
     """The number that a text spells, 'nan' and 'inf' among them; null for others."""
     return F.trim(text.cast("string")).try_cast("double")

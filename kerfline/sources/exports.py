@@ -46,8 +46,30 @@ def canonical_hash(report: dict) -> str:
     return hashlib.sha256(text.encode()).hexdigest().upper()
 
 
-def markdown_table(df: DataFrame, limit: int = 1000) -> str:
-    """A report table; for summaries only, as its rows come to the driver."""
-    rows = df.limit(limit).collect()
+def markdown_table(df: DataFrame, most: int = 1000) -> str:
+    """A report table; for summaries only, as its rows come to the driver: more than `most` of them are an error."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows for a report table")
+    cell = lambda v: "" if v is None else str(v).replace("|", "\\|").replace("\n", " ")
     lines = ["| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
-    return "\n".join(lines + ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows]) + "\n"
+    return "\n".join(lines + ["| " + " | ".join(map(cell, r)) + " |" for r in rows]) + "\n"
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """Files with a header, line feeds and a byte-order mark each; null is empty."""
+    names = df.columns
+    # the mark is the first character of the first column's name, as each file begins with the header
+    df.toDF("\ufeff" + names[0], *names[1:]).write.mode("overwrite").option("header", True).option("lineSep", "\n").option("escape", '"').option("nullValue", "").option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Texts by the names of the header, a byte-order mark allowed."""
+    df = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    return df.toDF(*[c.lstrip("\ufeff") for c in df.columns])
+
+
+def positive(value: str | None, fallback: int) -> int:
+    """A positive whole number from a setting, else the fallback."""
+    text = (value or "").strip()
+    return int(text) if text.isdigit() and int(text) > 0 else fallback

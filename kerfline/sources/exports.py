@@ -15,6 +15,33 @@ def read_document(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").option("allowNonNumericNumbers", True).json(path)
 
 
+# fixed values: what the names of a drawing's six documents end in
+SUFFIXES = {"text": "cad_text_export_v5", "frame": "cad_frame_export_v5", "symbol": "cad_symbol_export_v6", "oriented_text": "cad_oriented_text_export_v7", "primitive": "cad_primitive_export_v10", "visibility": "cad_visibility_export_v13"}
+#: The arrays that hold the records of each kind, by document.
+ARRAYS = {"text": ("text", "records"), "frame_lines": ("frame", "line_segments"), "symbol": ("symbol", "records"), "oriented_text": ("oriented_text", "records"), "primitive": ("primitive", "records"), "visibility": ("visibility", "records"), "layers": ("visibility", "layers"), "layouts": ("visibility", "layouts"), "viewports": ("visibility", "viewports")}
+
+
+def read_pair(spark: SparkSession, left: str, right: str, stem: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The records of both folders' documents of one drawing, by kind.
+
+    Both sides of a document are read by one schema, inferred from the two files, so that
+    a field which one lacks is null there. A kind that neither has is left out.
+    """
+    out: tuple[dict, dict] = {}, {}
+    for kind, (document, field) in ARRAYS.items():
+        paths = [f"{folder}/{stem}.{SUFFIXES[document]}.json" for folder in (left, right)]
+        schema = spark.read.option("multiLine", True).option("allowNonNumericNumbers", True).json(paths).schema
+        if field in schema.names and isinstance(schema[field].dataType, T.ArrayType) and isinstance(schema[field].dataType.elementType, T.StructType):
+            for side, path in zip(out, paths):
+                side[kind] = records(read_document(spark, path, schema), field)
+    return out
+
+
+def raw_counts(entity: DataFrame, attribute: DataFrame) -> DataFrame:
+    """(type, n) over all definitions, reached or not; attributes count as a type of their own."""
+    return entity.groupBy("type").agg(F.count("*").alias("n")).unionByName(attribute.agg(F.lit("ATTRIB").alias("type"), F.count("*").alias("n")))
+
+
 def records(document: DataFrame, field: str = "records") -> DataFrame:
     """The rows of one array of a document; null entries are left out."""
     return document.select(F.posexplode(field).alias("ordinal", "r")).where("r IS NOT NULL").select("ordinal", "r.*")

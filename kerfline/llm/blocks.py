@@ -118,8 +118,8 @@ def _libc(name: str, *arguments: int) -> None:
 
 # Arrays of a block's size are taken from the heap again and again, not mapped anew each
 # time (M_MMAP_THRESHOLD and M_TRIM_THRESHOLD); release() gives all of it back.
-_libc("mallopt", -3, 1 << 25)
-_libc("mallopt", -1, 1 << 27)
+_libc("mallopt", -3, 1 << 23)
+_libc("mallopt", -1, 1 << 25)
 
 
 def release() -> None:

@@ -14,6 +14,7 @@ import re
 import sys
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -94,9 +95,15 @@ def separated(column, separator: int = 10) -> tuple[np.ndarray, np.ndarray, np.n
     return out, starts, ends
 
 
-def sliced(batches, column: str, limit: int | None = None):
-    """Yields record batches of about `limit` bytes of the named text column."""
+#: What operators keep in a worker from task to task: a function for each that lets go of it.
+KEPT: dict[str, Callable[[], None]] = {}
+
+
+def sliced(batches, column: str, limit: int | None = None, keep: str = ""):
+    """Yields record batches of about `limit` bytes of the named text column; what other operators than `keep` left in the worker goes first."""
     limit = limit or BLOCK_BYTES
+    for name in [n for n in KEPT if n != keep]:
+        KEPT.pop(name)()
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy(zero_copy_only=False)
         done = np.cumsum(sizes + 1)
@@ -119,7 +126,7 @@ def _libc(name: str, *arguments: int) -> None:
 # Arrays of a block's size are taken from the heap again and again, not mapped anew each
 # time (M_MMAP_THRESHOLD and M_TRIM_THRESHOLD); release() gives all of it back.
 _libc("mallopt", -3, 1 << 23)
-_libc("mallopt", -1, 1 << 25)
+_libc("mallopt", -1, 1 << 24)
 
 
 def release() -> None:

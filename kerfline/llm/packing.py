@@ -87,6 +87,7 @@ class CachedTokenizer:
 def tokenizer(path: str) -> CachedTokenizer:
     if path not in _tokenizers:
         _tokenizers[path] = CachedTokenizer(path)
+    blocks.KEPT["packing"] = _tokenizers.clear
     return _tokenizers[path]
 
 
@@ -94,7 +95,7 @@ def pieces(docs: DataFrame, path: str, length: int = 2048, text: str = "text", d
     """(doc_id, start, length, ids_crc32, doc_tokens): every id of every row in one piece."""
 
     def run(batches):
-        for batch in blocks.sliced(batches, "text"):
+        for batch in blocks.sliced(batches, "text", keep="packing"):
             rows = []
             for k, ids in enumerate(tokenizer(path).encode([t or "" for t in batch.column(1).to_pylist()])):
                 raw = ids.tobytes() + CLOSING.to_bytes(4, "little")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import geometry, scalar
-from ..operators import diff, gates, lookups, ordering, rules, summaries
+from ..operators import clearance, diff, gates, lookups, ordering, rules, summaries
 from .registry import query, table
 
 
@@ -305,3 +306,45 @@ def finite_check(spark, sf_dir):
     bad = lambda n, v: F.when(F.col("event_id") % n == 0, F.lit(float(v))).otherwise(F.col("value"))
     rows = table(spark, sf_dir, "events").select("event_id", bad(9, "nan").alias("value"), F.struct(F.lit("x").alias("a"), F.array(F.lit(1.0), bad(14, "inf")).alias("b")).alias("nested"))
     return rules.run_rules(rows, "event_id", scalar.finite_rules(rows))
+
+
+@query("""WITH d AS (SELECT p_partkey AS k, p_size AS s, CASE WHEN p_partkey % 5 <> 0 THEN -(p_size % 3) * 50.0 WHEN p_partkey % 10 = 0 THEN 30.0 END AS off FROM part),
+t AS (SELECT *, CASE WHEN k % 11 <> 0 THEN off END AS lower_top, CASE WHEN k % 7 <> 0 THEN 4450.0 + s + (s % 5) * 25 END AS upper_top,
+ CASE WHEN k % 4 = 0 THEN '资料不足' WHEN k % 9 = 0 THEN '冲突' WHEN k % 3 = 0 AND s % 2 = 0 THEN '已确认' ELSE '候选' END AS lower_status, CASE WHEN k % 6 <> 0 THEN '已确认' ELSE '候选' END AS upper_status FROM d),
+c AS (SELECT *, upper_top - CASE WHEN k % 13 <> 0 THEN 800 END - lower_top AS clearance FROM t)
+SELECT 'D' || k AS registry_device_id, lower_top::DOUBLE AS lower_top, upper_top::DOUBLE AS upper_top, clearance::DOUBLE AS clearance, (clearance - 3650)::DOUBLE AS delta, lower_status, upper_status,
+ CASE WHEN off IS NULL THEN '资料不足' WHEN off < -1 THEN '有' WHEN off > 1 THEN '升板' ELSE '无' END AS lower_drop,
+ CASE WHEN lower_status = '冲突' THEN '冲突' WHEN clearance IS NULL OR lower_status <> '已确认' OR upper_status <> '已确认' THEN '待人工核实' ELSE '已确认' END AS overall FROM c""")
+def clearance_report(spark, sf_dir):
+    """The device report over evidence derived from parts, with a ledger derived from suppliers."""
+    k, s = F.col("p_partkey"), F.col("p_size")
+
+    def quantity(value, known, reason="measured"):
+        reason = reason if isinstance(reason, Column) else F.lit(reason)
+        return F.struct(value.cast("string").alias("value_mm"), F.when(known, clearance.CONFIRMED).otherwise(clearance.LACKING).alias("status"), reason.alias("reason"))
+
+    def link(segment, mapped, physical):
+        sure = lambda c: F.when(c, clearance.CONFIRMED).otherwise(clearance.CANDIDATE)
+        return F.struct(sure(mapped).alias("mapping_status"), segment.alias("p5_beam_segment_id"), sure(physical).alias("p5_physical_status"), F.lit(clearance.CONFIRMED).alias("beam_reference_status"))
+
+    always, lower, upper = F.lit(True), F.concat(F.lit("B"), k), F.concat(F.lit("U"), k)
+    inputs = {
+        "z_lower_level_mm": quantity(F.lit(0), k % 11 != 0),
+        "z_upper_level_mm": quantity(4500 + s, always),
+        "lower_beam_top_offset_mm": quantity(-(s % 3) * 50, k % 5 != 0),
+        "lower_installation_surface_offset_mm": quantity(F.lit(30), always, F.when(k % 10 == 0, "Beam_Top seen").otherwise("surface")),
+        "upper_beam_top_offset_mm": quantity((s % 5) * 25 - 50, k % 7 != 0),
+        "upper_beam_height_mm": quantity(F.lit(800), k % 13 != 0),
+    }
+    device = F.struct(
+        F.concat(F.lit("D"), k).alias("registry_device_id"),
+        F.struct(F.when(k % 9 == 0, "X").when(k % 3 == 0, lower).alias("lower_beam_id"), upper.alias("upper_beam_id")).alias("beam_references"),
+        F.struct(link(lower, k % 4 != 0, s % 2 == 0).alias("lower"), link(upper, always, k % 6 != 0).alias("upper")).alias("support_links"),
+        F.struct(*[v.alias(n) for n, v in inputs.items()]).alias("inputs"),
+        F.lit(3650.0).alias("clear_height_mm"),
+    )
+    devices = table(spark, sf_dir, "part").select(F.from_json(F.to_json(device), clearance.DEVICES).alias("d")).select("d.*")
+    beams = table(spark, sf_dir, "supplier").select(F.from_json(F.to_json(F.struct(F.concat(F.lit("F"), F.col("s_suppkey")).alias("formal_beam_id"))), clearance.BEAMS).alias("b")).select("b.*")
+    rows = clearance.report(devices, beams)
+    names = {"lower_beam_top_elevation_mm": "lower_top", "upper_beam_top_elevation_mm": "upper_top", "beam_clearance_excluding_upturn_mm": "clearance", "baseline_delta_mm": "delta", "lower_anchorage.status": "lower_status", "upper_anchorage.status": "upper_status", "lower_drop_status": "lower_drop", "overall_status": "overall"}
+    return rows.select("registry_device_id", *[F.col(c).alias(n) for c, n in names.items()])

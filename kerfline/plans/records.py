@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import geometry, scalar
-from ..operators import clearance, diff, gates, lookups, ordering, rules, summaries
+from ..operators import clearance, diff, gates, lookups, ordering, reconcile, rules, summaries
 from .registry import query, table
 
 
@@ -348,3 +348,22 @@ def clearance_report(spark, sf_dir):
     rows = clearance.report(devices, beams)
     names = {"lower_beam_top_elevation_mm": "lower_top", "upper_beam_top_elevation_mm": "upper_top", "beam_clearance_excluding_upturn_mm": "clearance", "baseline_delta_mm": "delta", "lower_anchorage.status": "lower_status", "upper_anchorage.status": "upper_status", "lower_drop_status": "lower_drop", "overall_status": "overall"}
     return rows.select("registry_device_id", *[F.col(c).alias(n) for c, n in names.items()])
+
+
+@query("""WITH t AS (SELECT count(*) AS l, count(*) FILTER (c_custkey % 7 <> 0) AS r, count(*) FILTER (c_custkey % 7 <> 0 AND c_custkey % 11 <> 0) AS m FROM customer),
+s AS (SELECT count(*) AS l, count(*) FILTER (o_orderkey % 101 <> 0) AS r, count(*) FILTER (o_orderkey % 101 <> 0 AND o_orderkey % 13 <> 0) AS m FROM orders), n AS (SELECT count(*) AS l FROM nation)
+SELECT 'text_core' AS comparison, l AS left_count, r AS right_count, m AS matched, l - m AS left_only, r - m AS right_only, 0 AS mismatched, l = m AND r = m AS consistent FROM t
+UNION ALL SELECT 'symbol_core', l, r, m, l - r, 0, r - m, l = m FROM s UNION ALL SELECT 'visibility_layers', l, l, l, 0, 0, 0, true FROM n""")
+def document_compare(spark, sf_dir):
+    """Two readers' records of one drawing: texts as a bag, inserts and layers by key."""
+    customer, orders, nation = (table(spark, sf_dir, t) for t in ("customer", "orders", "nation"))
+    text = customer.selectExpr("c_custkey AS ordinal", "'DBText' AS entity_type", "'direct' AS origin", "c_name AS text", "c_acctbal AS x", "c_mktsegment AS layer")
+    symbol = orders.selectExpr("o_orderkey AS ordinal", "CAST(o_orderkey AS STRING) AS instance_key", "o_orderstatus AS block_name", "o_totalprice AS x", "array(o_orderpriority) AS attributes")
+    layers = nation.selectExpr("n_nationkey AS ordinal", "n_name AS name", "n_regionkey = 1 AS is_off", "named_struct('r', n_regionkey / 3.0D) AS state")
+    other = {
+        "text": text.where("ordinal % 7 <> 0").withColumn("x", F.expr("x + IF(ordinal % 11 = 0, 0.01D, 1e-9D)")),
+        "symbol": symbol.where("ordinal % 101 <> 0").withColumn("attributes", F.expr("IF(ordinal % 13 = 0, array('changed'), attributes)")),
+        "layers": layers,
+    }
+    rows = reconcile.compare({"text": text, "symbol": symbol, "layers": layers}, other, 0.005)
+    return rows.where("not diagnostic").drop("diagnostic")

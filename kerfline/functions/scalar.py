@@ -74,6 +74,35 @@ def general_text(value: Column) -> Column:
     return F.when((exponent >= 6) | (exponent < -4), F.concat(strip(F.format_string("%.5f", digits)), sign, F.lpad(F.abs(exponent).cast("string"), 2, "0"))).otherwise(plain)
 
 
+def value_text(value: Column, kind: T.DataType) -> Column:
+    """A value of that type as text without regard to language: null is empty, doubles have up to 15 significant digits.
+
+    From 1e15 on, and under a ten-thousandth, doubles are written with an exponent of two
+    digits or more. The digits are those of the shortest text that reads back as the double.
+    """
+    if isinstance(kind, T.BooleanType):
+        return F.when(value, "True").when(~value, "False").otherwise("")
+    if not isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.coalesce(value.cast("string"), F.lit(""))
+    parts = F.split(F.format_string("%.14e", F.abs(finite_or_zero(value)).cast("double")), "e")
+    digits = F.regexp_replace(F.regexp_replace(F.get(parts, F.lit(0)), "\\.", ""), "0+$", "")
+    digits, power = F.when(digits == "", "0").otherwise(digits), F.get(parts, F.lit(1)).cast("int")
+    dotted = lambda whole, rest: F.when(rest == "", whole).otherwise(F.concat(whole, F.lit("."), rest))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    plain = F.when(power < 0, small).when(F.length(digits) <= power + 1, F.rpad(digits, power + 1, "0")).otherwise(dotted(F.substr(digits, F.lit(1), power + 1), F.substr(digits, power + 2)))
+    long = F.concat(dotted(F.substr(digits, F.lit(1), F.lit(1)), F.substr(digits, F.lit(2))), F.when(power < 0, "E-").otherwise("E+"), F.when(F.abs(power) < 10, "0").otherwise(""), F.abs(power).cast("string"))
+    text = F.concat(F.when(value < 0, "-").otherwise(""), F.when((power >= 15) | (power < -4), long).otherwise(plain))
+    return F.when(value.isNull(), "").when(F.isnan(value), "NaN").when(F.abs(value) == float("inf"), F.when(value > 0, "Infinity").otherwise("-Infinity")).otherwise(text)
+
+
+def json_text(text: Column) -> Column:
+    """A text as it stands between the quotes of an export document: backslash, quote, carriage return, line feed and tab are escaped, no others; null is empty."""
+    out = F.coalesce(text, F.lit(""))
+    for plain, escaped in (("\\", "\\\\"), ('"', '\\"'), ("\r", "\\r"), ("\n", "\\n"), ("\t", "\\t")):
+        out = F.replace(out, F.lit(plain), F.lit(escaped))
+    return out
+
+
 def number(text: Column) -> Column:
     """The number that a text spells, 'nan' and 'inf' among them; null for others."""
     return F.trim(text.cast("string")).try_cast("double")

@@ -1,4 +1,4 @@
-"""The registered queries of comparisons and hierarchies, and the SQL that each is held against; those of records are in records.py."""
+"""The registered queries of comparisons and hierarchies, and the SQL that each is held against; those of records are in records.py and projected.py."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry, scalar
 from ..operators import diff, hierarchy, ordering, rules
 from ..sources import exports
-from . import records  # noqa: F401  registers its queries
+from . import projected, records  # noqa: F401  register their queries
 from .registry import QUERIES, SQL, TABLES, query, table
 
 def edited_lineitem(spark, sf_dir):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blocks, decontam, gif, jaccard, langid, linededup, packing, quality, repeats, spandedup, toxicity
+from . import blocks, decontam, gif, jaccard, langid, linededup, packing, quality, repeats, spandedup, toxicity, variants
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,7 +77,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "source", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_decontamination, op3_span_dedup, op4_packing, op5_gif, op6_quality, op7_language, op8_toxicity, op9_jaccard, op10_line_dedup)}
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = variants.count_words(_table(spark, sf_dir, "documents"), least=7, drop_every=31)
+    return variants.group_variants(words.where("n >= 2"), ratio=10)
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_decontamination, op3_span_dedup, op4_packing, op5_gif, op6_quality, op7_language, op8_toxicity, op9_jaccard, op10_line_dedup, op11_variants)}
 
 SQL = {
     "op10_line_dedup": """

@@ -6,8 +6,9 @@ packed on its own: the longest piece first, into the first bin with room, found
 walking down a tree whose nodes hold the largest free capacity below them.
 
 Defined cases: a null or empty text is the single id 1; equal pieces are ordered by id,
-start and checksum; repeated rows are packed each on its own; a null id is kept; other
-columns are not looked at; an empty table gives no pieces.
+start and checksum; repeated rows are packed each on its own; a null id is kept; a very
+long text is read whole, and its pieces are dealt to as many groups as their number asks
+for; other columns are not looked at; an empty table gives no pieces.
 """
 
 from __future__ import annotations
@@ -15,9 +16,9 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,14 +92,14 @@ def tokenizer(path: str) -> CachedTokenizer:
     return _tokenizers[path]
 
 
-def pieces(docs: DataFrame, path: str, length: int = 2048, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens): every id of every row in one piece."""
+def pieces(docs: DataFrame, path: str, length: int = 2048, text: str = "text", doc_id: str = "doc_id", closing: int = CLOSING) -> DataFrame:
+    """(doc_id, start, length, ids_crc32, doc_tokens): every id of every row, the closing one included, in one piece."""
 
     def run(batches):
         for batch in blocks.sliced(batches, "text", keep="packing"):
             rows = []
             for k, ids in enumerate(tokenizer(path).encode([t or "" for t in batch.column(1).to_pylist()])):
-                raw = ids.tobytes() + CLOSING.to_bytes(4, "little")
+                raw = ids.tobytes() + closing.to_bytes(4, "little")
                 n = len(raw) // 4
                 rows += [(k, s, min(length, n - s), zlib.crc32(raw[4 * s : 4 * (s + length)]), n) for s in range(0, n, length)]
             cols = list(zip(*rows)) or [()] * 5
@@ -142,24 +143,32 @@ def first_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
     return [bins.place(s) for s in sizes]
 
 
-def pack(docs: DataFrame, path: str, length: int = 2048, group_rows: int = 4096, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """pieces() with sequence_id and offset. Groups hold about group_rows documents each."""
-    cut = pieces(docs, path, length, text, doc_id)
-    groups = max(1, -(-docs.count() // group_rows))
+def dealt(cut: DataFrame, group_pieces: int) -> DataFrame:
+    """pieces() with pack_group: dealt at random to groups of about group_pieces pieces, equal pieces apart."""
+    cut = blocks.cut(cut)  # the places of the rows stay as they are
+    groups = max(1, -(-cut.count() // group_pieces))
+    return cut.withColumn("pack_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
 
-    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True], kind="stable", ignore_index=True)
-        bins = np.array(first_fit_decreasing(pdf["length"].tolist(), length), np.int64)
-        pdf["sequence_id"] = pdf["pack_group"].to_numpy(np.int64) * (1 << 32) + bins
+
+def filled(grouped: DataFrame, assign: Callable[[list[int], int], list[int]], length: int) -> DataFrame:
+    """dealt() with sequence_id and offset: each group's pieces go into the bins that `assign` names for their sizes, from the longest on."""
+
+    def fill(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
+        sizes = table.column("length").to_numpy()
+        bins = np.array(assign(sizes.tolist(), length), np.int64)
         order = np.argsort(bins, kind="stable")
-        sizes = pdf["length"].to_numpy()[order]
-        before = np.cumsum(sizes) - sizes
+        before = np.cumsum(sizes[order]) - sizes[order]
         new = np.concatenate(([True], np.diff(bins[order]) != 0))
-        offset = np.empty(len(pdf), np.int64)
+        offset = np.empty(len(sizes), np.int64)
         offset[order] = before - np.maximum.accumulate(np.where(new, before, 0))
-        pdf["offset"] = offset
-        return pdf.drop(columns="pack_group")
+        sequence = table.column("pack_group").to_numpy() * (1 << 32) + bins
+        return table.drop_columns("pack_group").append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in grouped.schema if f.name != "pack_group")
+    return grouped.groupBy("pack_group").applyInArrow(fill, f"{schema}, sequence_id long, offset long")
+
 
-    kind = cut.schema["doc_id"].dataType.simpleString()
-    dealt = cut.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
-    return dealt.groupBy("pack_group").applyInPandas(fill, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+def pack(docs: DataFrame, path: str, length: int = 2048, group_pieces: int = 4096, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """pieces() with sequence_id and offset. Groups hold about group_pieces pieces each, however long a document is."""
+    return filled(dealt(pieces(docs, path, length, text, doc_id), group_pieces), first_fit_decreasing, length)

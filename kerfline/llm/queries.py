@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blocks, decontam, gif, jaccard, langid, linededup, packing, quality, repeats, spandedup, toxicity, variants
+from . import blocks, decontam, gif, jaccard, langid, linededup, packing, quality, repeats, spandedup, toxicity, twofit, txlog, variants
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,7 +82,16 @@ def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group_variants(words.where("n >= 2"), ratio=10)
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_decontamination, op3_span_dedup, op4_packing, op5_gif, op6_quality, op7_language, op8_toxicity, op9_jaccard, op10_line_dedup, op11_variants)}
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = twofit.pack(_table(spark, sf_dir, "documents"), token_path())
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op13_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return txlog.reassemble(txlog.records(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")))
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_decontamination, op3_span_dedup, op4_packing, op5_gif, op6_quality, op7_language, op8_toxicity, op9_jaccard, op10_line_dedup, op11_variants, op12_best_fit, op13_transactions)}
 
 SQL = {
     "op10_line_dedup": """

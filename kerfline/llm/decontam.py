@@ -6,9 +6,10 @@ q-grams are therefore counted in overlapping bands of diagonals, regions that re
 bound are kept, and a banded alignment decides.
 
 Both sides are folded first: ASCII letters to lower case, each run of ASCII characters
-that are neither letters nor digits to one space, and each character outside ASCII to one
-byte, so that edits are counted in characters: those up to U+00FF keep a byte of their
-own, others share 128 (two that agree there count as equal).
+that are neither letters nor digits to one space, and each character outside ASCII is one
+too, so that edits are counted in characters. q-grams have one byte for each character:
+those up to U+00FF have one of their own, others share 128, which can only let more regions
+through; the alignment compares whole code points.
 
 Defined cases: null and empty texts and items match nothing, nor do items of fewer than
 q folded characters; items too short for the lemma at the given rate get the largest edit
@@ -39,8 +40,20 @@ _FOLD[128:192] = 0  # the second and later bytes of a character
 _FOLD[192:] = 255
 
 
-def fold(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(folded characters, starts, ends) of the texts laid end to end."""
+def _code_points(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The characters of two to four bytes that begin at these places."""
+    lead, out = data[at].astype(np.uint32), np.zeros(len(at), np.uint32)
+    for size, bits in ((2, 31), (3, 15), (4, 7)):
+        of = np.flatnonzero((lead >= (0, 0, 192, 224, 240)[size]) & (lead < (0, 0, 224, 240, 256)[size]))
+        code = lead[of] & bits
+        for k in range(1, size):
+            code = code << 6 | (data[at[of] + k] & 63)
+        out[of] = code
+    return out
+
+
+def fold(column) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(a byte for each folded character, starts, ends, the characters themselves) of the texts laid end to end; bytes and characters are one where none is beyond U+00FF."""
     data, starts, ends = blocks.separated(column, 32)
     low = _FOLD[data]
     space = low == 32
@@ -54,13 +67,17 @@ def fold(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         size = 1 + (data[lead] >= 224).astype(np.int64) + (data[lead] >= 240)
         low[lead] = 128 | (data[lead + size - 1] << 6 & 64) | (data[lead + size] & 63)
         low[low == 255] = 127  # 255 stands for no text
+    codes, beyond = None, lead[data[lead] >= 0xC4]
+    if len(beyond):
+        codes = low.astype(np.uint32)
+        codes[beyond] = _code_points(data, beyond)
     at = np.concatenate(([0], np.cumsum(keep)))
     lo, hi = at[starts], at[ends]
     # no trailing space
     out = low[keep]
     tail = hi > lo
     hi = np.where(tail & (out[np.maximum(hi - 1, 0)] == 32), hi - 1, hi) if len(out) else hi
-    return out, lo, hi
+    return out, lo, hi, out if codes is None else codes[keep]
 
 
 def qgrams(data: np.ndarray) -> np.ndarray:
@@ -80,8 +97,8 @@ class BenchmarkIndex:
         self.ids, self.items, self.budget, self.need = [], [], [], []
         grams, item, place = [], [], []
         for i, t in zip(ids, texts):
-            data, lo, hi = fold(pa.array([t], pa.string()))
-            body = data[lo[0] : hi[0]]
+            data, lo, hi, codes = fold(pa.array([t], pa.string()))
+            body, codes = data[lo[0] : hi[0]], codes[lo[0] : hi[0]]
             if len(body) < Q:
                 continue
             m = len(body)
@@ -91,7 +108,7 @@ class BenchmarkIndex:
             item.append(np.full(len(g), len(self.items), np.int64))
             place.append(np.arange(len(g)))
             self.ids.append(i)
-            self.items.append(body)
+            self.items.append(codes)
             self.budget.append(k)
             self.need.append(m - Q + 1 - k * Q)
         join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
@@ -109,11 +126,11 @@ class BenchmarkIndex:
         return ((g * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(42)).astype(np.int64)
 
     def _shared(self, column) -> tuple:
-        """Folded texts, their starts and ends, and (place, q-gram, text) of each of their q-grams that an item has too."""
+        """Characters of the folded texts, their starts and ends, and (place, q-gram, text) of each of their q-grams that an item has too."""
         none = np.zeros(0, np.int64)
-        data, lo, hi = fold(column)
+        data, lo, hi, codes = fold(column)
         if not len(self.grams):
-            return data, lo, hi, none, none, none
+            return codes, lo, hi, none, none, none
         g = qgrams(data)
         at = np.flatnonzero(self.maybe[self._cell(g)])
         g = g[at]
@@ -122,7 +139,7 @@ class BenchmarkIndex:
         at, k = at[same], k[same]
         doc = np.searchsorted(lo, at, side="right") - 1
         inside = at + Q <= hi[doc]
-        return data, lo, hi, at[inside], k[inside], doc[inside]
+        return codes, lo, hi, at[inside], k[inside], doc[inside]
 
     def _expanded(self, at: np.ndarray, k: np.ndarray, doc: np.ndarray):
         """Yields (item, diagonal, text) of the shared q-grams, STEP or so at a time."""
@@ -201,12 +218,12 @@ def _counted(parts, space: int) -> tuple[np.ndarray, np.ndarray]:
 def banded(items: list[np.ndarray], data: np.ndarray, low: np.ndarray, start: np.ndarray, end: np.ndarray, width: int) -> np.ndarray:
     """Fewest edits between each item and any part of data[start:end] on the diagonals low .. low + width; longest items first."""
     size = np.array([len(x) for x in items])
-    wanted = np.zeros((len(items), size[0]), np.uint8)
+    wanted = np.zeros((len(items), size[0]), np.uint32)
     for i, x in enumerate(items):
         wanted[i, : len(x)] = x
     place = low[:, None] + np.arange(size[0] + width + 1)
     inside = (place >= start[:, None]) & (place < end[:, None])
-    text = np.where(inside, data[np.minimum(np.maximum(place, 0), len(data) - 1)], 255)  # 255 is in no text
+    text = np.where(inside, data[np.minimum(np.maximum(place, 0), len(data) - 1)], data.dtype.type(255))  # 255 is in no text
     row = -np.broadcast_to(np.arange(width + 1, dtype=np.int32), (len(items), width + 1))  # less the place in the band; an occurrence may begin anywhere
     out = np.zeros(len(items), np.int64)
     active = len(items)

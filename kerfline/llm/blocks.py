@@ -191,17 +191,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread_join(rows: DataFrame, kinds: DataFrame, key: str, count: str, by: str, hot_rows: int = 20_000) -> DataFrame:
-    """rows joined to kinds, which has each key once with its number of rows, so that no task gets all rows of a key.
+def salted(rows: DataFrame, kinds: DataFrame, key: str, count: str, by: list[str], hot_rows: int = 20_000) -> tuple[DataFrame, DataFrame]:
+    """rows and kinds with a column salt: rows of a hot key are dealt to several salts, and kinds has one row for each.
 
-    Keys of more than hot_rows rows and more than a ten-thousandth of all (so there are at
-    most ten thousand) are dealt to 64 tasks by a hash of the column `by`; kinds, which
-    must be cut, is repeated for these. The dealing stays as column salt.
+    kinds, which must be cut, has each key once with its number of rows. A key of more than
+    hot_rows rows and more than a ten-thousandth of all (so at most ten thousand keys, which
+    are broadcast) gets a salt for each such number of rows, at most 64. Rows are dealt by a
+    hash of the columns `by`, which have to tell the rows of a key apart.
     """
     most = max(hot_rows, (kinds.agg(F.sum(count)).first()[0] or 0) // 10_000)
-    hot = [r[0] for r in kinds.where(F.col(count) > most).select(key).collect()]
-    if not hot:
-        return rows.withColumn("salt", F.lit(0)).join(kinds, key)
-    of, to = F.pmod(F.xxhash64(by), F.lit(64)).cast("int"), F.sequence(F.lit(0), F.lit(63))
-    dealt = kinds.withColumn("salt", F.explode(F.when(F.col(key).isin(hot), to).otherwise(F.array(F.lit(0)))))
-    return rows.withColumn("salt", F.when(F.col(key).isin(hot), of).otherwise(0)).join(dealt, [key, "salt"])
+    n = F.least(F.ceil(F.col(count) / most), F.lit(64)).cast("int")
+    hot = F.broadcast(kinds.where(F.col(count) > most).select(key, n.alias("salts_")))
+    dealt = kinds.withColumn("salt", F.explode(F.sequence(F.lit(0), F.when(F.col(count) > most, n - 1).otherwise(0))))
+    salt = F.coalesce(F.pmod(F.xxhash64(*by), F.col("salts_")), F.lit(0)).cast("int")
+    return rows.join(hot, key, "left").withColumn("salt", salt).drop("salts_"), dealt
+
+
+def spread_join(rows: DataFrame, kinds: DataFrame, key: str, count: str, by: list[str], hot_rows: int = 20_000) -> DataFrame:
+    """rows joined to kinds by a key, so that no task gets all rows of a hot key; see salted()."""
+    rows, dealt = salted(rows, kinds, key, count, by, hot_rows)
+    return rows.join(dealt, [key, "salt"]).drop("salt")

@@ -177,9 +177,10 @@ def find_repeats(docs: DataFrame, length: int = 200, k: int = 48, text: str = "t
 
     rows = picked.mapInArrow(cut, f"doc_id {kind}, copy long, at int, n int, key long, seg long")
     again = blocks.cut(rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
-    rows = blocks.cut(blocks.spread_join(rows, again, "key", "c", "seg", hot_rows).drop("c"))
+    rows, dealt_keys = blocks.salted(rows, again, "key", "c", ["doc_id", "copy", "at"], hot_rows)
+    rows = blocks.cut(rows.join(dealt_keys, ["key", "salt"]).drop("c"))
     each = ["doc_id", "copy", "at", "n"]
-    kinds = blocks.cut(rows.groupBy("key", "salt", "seg").agg(F.count("*").alias("weight"), *[F.first(c).alias(c) for c in each]))
+    kinds = blocks.cut(rows.groupBy("key", "seg").agg(F.count("*").alias("weight"), *[F.first(c).alias(c) for c in each]))
     total = kinds.agg(F.sum(F.col("n") + (length - 1))).first()[0] or 0
     buckets = max(1, int(total // bucket_bytes))
     wide = kinds.groupBy("key").agg(F.sum(F.col("n") + (length - 1)).alias("bytes")).where(F.col("bytes") > hot_bytes).select(F.col("key").alias("wide"))
@@ -224,7 +225,8 @@ def find_repeats(docs: DataFrame, length: int = 200, k: int = 48, text: str = "t
     # the texts fetched for the index are done with before all texts travel once more
     marks = blocks.cut(marks)
     blocks.free(docs.sparkSession)
-    placed = rows.drop("salt", "n").join(marks, ["key", "seg"]).select("doc_id", "copy", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi")).alias("hi"))
+    # marks of hot keys go to each of the keys' salts, their rows to one
+    placed = rows.drop("n").join(marks.join(dealt_keys.select("key", "salt"), "key"), ["key", "seg", "salt"]).select("doc_id", "copy", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi")).alias("hi"))
     return placed.groupBy("doc_id", "copy").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
 
 

@@ -95,7 +95,7 @@ def repeated(docs: DataFrame, span: int = 2, least_bytes: int = LEAST_BYTES, tex
     # struct order puts nulls first; min and max differ where a run has a second place
     place = F.struct("doc_id", "copy", "at")
     kinds = every.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("c")).where(~F.col("first").eqNullSafe(F.col("last"))).select("hash", "first", "c")
-    met = blocks.spread_join(every, blocks.cut(kinds), "hash", "c", "at")
+    met = blocks.spread_join(every, blocks.cut(kinds), "hash", "c", ["doc_id", "copy", "at"])
     later = met.where(~F.struct("doc_id", "copy", "at").eqNullSafe(F.col("first"))).select("doc_id", "copy", "at")
     return later.groupBy("doc_id", "copy").agg(F.collect_set("at").alias("runs"))
 

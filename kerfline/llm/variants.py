@@ -104,7 +104,7 @@ def near_pairs(words: DataFrame, most: int = 2000) -> DataFrame:
     while True:
         sizes = rows.groupBy("key").agg(F.sum(1 - F.col("longer")).alias("indexed"), F.count("*").alias("all"))
         sizes = blocks.cut(sizes.where("indexed > 0 AND all > 1"))
-        sized = blocks.cut(blocks.spread_join(rows, sizes, "key", "all", "word").drop("salt"))
+        sized = blocks.cut(blocks.spread_join(rows, sizes, "key", "all", ["word", "longer"]))
         many = (F.col("indexed") * F.col("all") > most) & (F.col("b") - F.col("a") > 1)
         meeting.append(sized.where(~many).select("key", "word", "longer"))
         rows = sized.where(many)

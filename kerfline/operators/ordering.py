@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lineage import cut
+
 
 def latest(df: DataFrame, family: str, order: list[str]) -> DataFrame:
     """The last row of each family by the given columns."""
@@ -39,9 +43,15 @@ def positions(df: DataFrame, group: str, value: str) -> DataFrame:
     return each.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy("folded"))).drop("folded")
 
 
+def handle_order(handle: str = "handle") -> list[Column]:
+    """What hexadecimal handles are ordered by as numbers, however long they are: how many digits, and then which."""
+    digits = F.ltrim(F.col(handle), F.lit("0"))
+    return [F.length(digits), F.upper(digits)]
+
+
 def by_handle(df: DataFrame, handle: str = "handle", then: str | None = None) -> DataFrame:
     """Rows in the order of hexadecimal handles as numbers."""
-    return df.orderBy(F.length(F.ltrim(F.col(handle), F.lit("0"))), F.upper(F.ltrim(F.col(handle), F.lit("0"))), *([then] if then else []))
+    return df.orderBy(*handle_order(handle), *([then] if then else []))
 
 
 def capped(df: DataFrame, order: list[str], limit: int) -> tuple[DataFrame, DataFrame]:
@@ -59,3 +69,25 @@ def stratified(df: DataFrame, stratum: str, key: str, each: Column) -> DataFrame
 def evidence_ids(ids: Column) -> Column:
     """Trimmed, not blank, each once, in order; null for a null list."""
     return F.array_sort(F.array_distinct(F.filter(F.transform(ids, lambda x: F.trim(x)), lambda x: x != "")))
+
+
+def ranked(df: DataFrame, order: list, name: str = "rank", within: list[str] = ()) -> DataFrame:
+    """df with its rank from 1 in that order, in each group of `within` if there are any; ties get ranks in any order.
+
+    Rows are dealt to ranges of the order and sorted there. A row's rank is its place in its
+    range and the number of rows in earlier ranges, so no task sees all rows; of the ranges
+    only their sizes meet, one row each. In groups, the rank of the group's first row is
+    taken off.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [*within, *order]
+    placed = df.repartitionByRange(n, *by).sortWithinPartitions(*by)
+    placed = cut(placed.withColumns({"range_": F.spark_partition_id(), "place_": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}))
+    sizes = placed.groupBy("range_").agg(F.count("*").alias("n_"))
+    before = sizes.select("range_", F.coalesce(F.sum("n_").over(Window.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before_"))
+    out = placed.join(F.broadcast(before), "range_").withColumn(name, F.col("before_") + F.col("place_") + 1).drop("range_", "place_", "before_")
+    if within:
+        firsts = out.groupBy(*[F.col(c).alias(f"{c}_of") for c in within]).agg(F.min(name).alias("first_"))
+        same = reduce(lambda a, b: a & b, [out[c].eqNullSafe(firsts[f"{c}_of"]) for c in within])
+        out = out.join(firsts, same).withColumn(name, F.col(name) - F.col("first_") + 1).drop("first_", *[f"{c}_of" for c in within])
+    return out.select(*df.columns, name)

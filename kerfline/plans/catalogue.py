@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry, scalar
 from ..operators import diff, hierarchy, ordering, rules
 from ..sources import exports
-from . import projected, records  # noqa: F401  register their queries
+from . import placed, projected, records, traversed  # noqa: F401  register their queries
 from .registry import QUERIES, SQL, TABLES, query, table
 
 def edited_lineitem(spark, sf_dir):
@@ -156,8 +156,8 @@ def _part_links(spark, sf_dir):
  UNION ALL SELECT e.child, list_append(x.path, e.child), list_contains(x.path, e.child) FROM x JOIN edges e ON x.node = e.parent WHERE NOT x.stopped)
 SELECT node, array_to_string(path, '/') AS path, stopped FROM x""")
 def expand_instances_cycle(spark, sf_dir):
-    edges, roots, size = _part_links(spark, sf_dir)
-    out = hierarchy.expand(edges, roots, max_depth=size + 1)  # no path without a repeat is longer
+    edges, roots, _ = _part_links(spark, sf_dir)
+    out = hierarchy.simple_paths(edges, roots)
     return out.select("node", F.array_join(F.col("path").cast("array<string>"), "/").alias("path"), "stopped")
 
 

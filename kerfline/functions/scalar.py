@@ -61,17 +61,31 @@ def significant_text(value: Column) -> Column:
     return F.when(value.isNotNull(), F.regexp_replace(F.regexp_replace(text, "0+$", ""), "\\.$", ""))
 
 
+def bound(value: Column, use) -> Column:
+    """use(value), with the value worked out once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def general_text(value: Column) -> Column:
     """A number that is not negative as text with up to six significant digits and no zeros at the end; from a million on, and under a ten-thousandth, with an exponent."""
-    exponent = F.floor(F.log10(F.when(value > 0, value).otherwise(1.0))).cast("int")
-    unit = F.pow(F.lit(10.0), exponent)
-    digits = F.bround(value / unit, 5)  # may come out as 10
-    exponent = F.when(digits >= 10, exponent + 1).otherwise(exponent)
-    digits = F.when(digits >= 10, digits / 10).otherwise(digits)
-    strip = lambda text: F.regexp_replace(F.when(text.contains("."), F.regexp_replace(text, "0+$", "")).otherwise(text), "\\.$", "")
-    plain = strip(F.format_string("%.9f", F.bround(digits * F.pow(F.lit(10.0), exponent), 9)))
-    sign = F.when(exponent < 0, "e-").otherwise("e+")
-    return F.when((exponent >= 6) | (exponent < -4), F.concat(strip(F.format_string("%.5f", digits)), sign, F.lpad(F.abs(exponent).cast("string"), 2, "0"))).otherwise(plain)
+
+    def rounded(v: Column) -> Column:
+        digits = F.bround(v["value"] / F.pow(F.lit(10.0), v["exponent"]), 5)  # may come out as 10
+        return F.struct(digits.alias("digits"), v["exponent"].alias("exponent"))
+
+    def carried(v: Column) -> Column:
+        over = v["digits"] >= 10
+        return F.struct(F.when(over, v["digits"] / 10).otherwise(v["digits"]).alias("digits"), F.when(over, v["exponent"] + 1).otherwise(v["exponent"]).alias("exponent"))
+
+    def written(v: Column) -> Column:
+        digits, exponent = v["digits"], v["exponent"]
+        strip = lambda text: F.regexp_replace(F.regexp_replace(text, "0+$", ""), "\\.$", "")  # noqa: E731  they all have a point
+        plain = strip(F.format_string("%.9f", F.bround(digits * F.pow(F.lit(10.0), exponent), 9)))
+        sign = F.when(exponent < 0, "e-").otherwise("e+")
+        return F.when((exponent >= 6) | (exponent < -4), F.concat(strip(F.format_string("%.5f", digits)), sign, F.lpad(F.abs(exponent).cast("string"), 2, "0"))).otherwise(plain)
+
+    start = F.struct(value.alias("value"), F.floor(F.log10(F.when(value > 0, value).otherwise(1.0))).cast("int").alias("exponent"))
+    return bound(start, lambda v: bound(rounded(v), lambda r: bound(carried(r), written)))
 
 
 def value_text(value: Column, kind: T.DataType) -> Column:
@@ -84,15 +98,25 @@ def value_text(value: Column, kind: T.DataType) -> Column:
         return F.when(value, "True").when(~value, "False").otherwise("")
     if not isinstance(kind, (T.DoubleType, T.FloatType)):
         return F.coalesce(value.cast("string"), F.lit(""))
-    parts = F.split(F.format_string("%.14e", F.abs(finite_or_zero(value)).cast("double")), "e")
-    digits = F.regexp_replace(F.regexp_replace(F.get(parts, F.lit(0)), "\\.", ""), "0+$", "")
-    digits, power = F.when(digits == "", "0").otherwise(digits), F.get(parts, F.lit(1)).cast("int")
     dotted = lambda whole, rest: F.when(rest == "", whole).otherwise(F.concat(whole, F.lit("."), rest))
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
-    plain = F.when(power < 0, small).when(F.length(digits) <= power + 1, F.rpad(digits, power + 1, "0")).otherwise(dotted(F.substr(digits, F.lit(1), power + 1), F.substr(digits, power + 2)))
-    long = F.concat(dotted(F.substr(digits, F.lit(1), F.lit(1)), F.substr(digits, F.lit(2))), F.when(power < 0, "E-").otherwise("E+"), F.when(F.abs(power) < 10, "0").otherwise(""), F.abs(power).cast("string"))
-    text = F.concat(F.when(value < 0, "-").otherwise(""), F.when((power >= 15) | (power < -4), long).otherwise(plain))
-    return F.when(value.isNull(), "").when(F.isnan(value), "NaN").when(F.abs(value) == float("inf"), F.when(value > 0, "Infinity").otherwise("-Infinity")).otherwise(text)
+
+    def taken_apart(parts: Column) -> Column:
+        digits = F.regexp_replace(F.regexp_replace(F.get(parts, F.lit(0)), "\\.", ""), "0+$", "")
+        return F.struct(digits.alias("digits"), F.get(parts, F.lit(1)).cast("int").alias("power"))
+
+    def written(v: Column) -> Column:
+        digits, power = F.when(v["digits"] == "", "0").otherwise(v["digits"]), v["power"]
+        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+        plain = F.when(power < 0, small).when(F.length(digits) <= power + 1, F.rpad(digits, power + 1, "0")).otherwise(dotted(F.substr(digits, F.lit(1), power + 1), F.substr(digits, power + 2)))
+        long = F.concat(dotted(F.substr(digits, F.lit(1), F.lit(1)), F.substr(digits, F.lit(2))), F.when(power < 0, "E-").otherwise("E+"), F.when(F.abs(power) < 10, "0").otherwise(""), F.abs(power).cast("string"))
+        return F.when((power >= 15) | (power < -4), long).otherwise(plain)
+
+    def text(v: Column) -> Column:
+        shown = bound(F.split(F.format_string("%.14e", F.abs(v).cast("double")), "e"), lambda parts: bound(taken_apart(parts), written))
+        special = F.when(F.isnan(v), "NaN").when(F.abs(v) == float("inf"), F.when(v > 0, "Infinity").otherwise("-Infinity"))
+        return F.when(v.isNull(), "").when(special.isNotNull(), special).otherwise(F.concat(F.when(v < 0, "-").otherwise(""), shown))
+
+    return bound(value, text)
 
 
 def json_text(text: Column) -> Column:

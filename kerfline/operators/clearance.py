@@ -98,14 +98,13 @@ def drop(offset: Column, status: Column) -> Column:
     )
 
 
-def formal_geometry(device: DataFrame, link: Column, beam: Column, role: str) -> Column:
-    """(status, reason) of a device's projection against the beam of the ledger."""
+def formal_geometry(device: DataFrame, link: Column, beam: Column, role: str, sides: Column) -> Column:
+    """(status, reason) of a device's projection, with its sides across and along the support, against the beam of the ledger."""
     identity = beam["identity"]
     same = clean(identity["building_id"]) == clean(device["building_id"])
     for key in ("support_floor", "component_id", "orientation"):
         same &= clean(identity[key]) == clean(link[key])
     same &= F.upper(clean(identity["actual_insert_root"])) == F.upper(clean(link["actual_insert_root"]))
-    sides = geometry.normal_and_along(link["mapped_envelope"], clean(link["orientation"]))
     faces = F.coalesce(identity["face_coordinates_mm"], F.array().cast("array<double>"))
     uses = F.filter(F.coalesce(beam["consumer_supports"], F.array().cast("array<struct<registry_device_id:string,support_role:string>>")), lambda u: (clean(u["registry_device_id"]) == clean(device["registry_device_id"])) & (clean(u["support_role"]) == role))
     intervals = F.filter(F.coalesce(beam["target_along_intervals_mm"], F.array().cast("array<array<double>>")), lambda i: F.size(i) == 2)
@@ -122,12 +121,11 @@ def formal_geometry(device: DataFrame, link: Column, beam: Column, role: str) ->
     )
 
 
-def anchorage(device: DataFrame, role: str, beam: Column) -> Column:
-    """(status, conclusion, reason, beam_id, evidence_ids): the first rule that holds; formal geometry alone never confirms."""
+def anchorage(device: DataFrame, role: str, beam: Column, found: Column) -> Column:
+    """(status, conclusion, reason, beam_id, evidence_ids): the first rule that holds; what formal geometry found never confirms alone."""
     link, formal = device["support_links"][role], device["formal_shared_beam_references"][role]
     direct, segment, formal_id = clean(device["beam_references"][f"{role}_beam_id"]), clean(link["p5_beam_segment_id"]), clean(formal["formal_beam_id"])
     either = F.when(direct != "", direct).otherwise(segment)
-    found = formal_geometry(device, link, beam, role)
     told = F.when(found["status"] == CONFIRMED, F.concat(found["reason"], F.lit(STAYS_CANDIDATE))).when(found["status"] == CONFLICT, F.concat(F.lit(GEOMETRY_DIFFERS), found["reason"], F.lit(NOT_JUDGED))).otherwise(found["reason"])
     none = F.lit(None).cast("array<string>")
 
@@ -164,6 +162,9 @@ def report(devices: DataFrame, beams: DataFrame, expected: int | None = None) ->
     for role in ROLES:
         of = beams.select(clean(F.col("formal_beam_id")).alias(f"{role}_key"), F.struct(*beams.columns).alias(f"{role}_ledger"))
         joined = joined.join(of, clean(F.col(f"formal_shared_beam_references.{role}.formal_beam_id")) == F.col(f"{role}_key"), "left")
+    # in steps, so that what later columns use often is worked out once
+    joined = joined.withColumns({f"{role}_sides": geometry.normal_and_along(F.col(f"support_links.{role}.mapped_envelope"), clean(F.col(f"support_links.{role}.orientation"))) for role in ROLES})
+    joined = joined.withColumns({f"{role}_geometry": formal_geometry(joined, F.col(f"support_links.{role}"), F.col(f"{role}_ledger"), role, F.col(f"{role}_sides")) for role in ROLES})
     inputs = joined["inputs"]
     rows = joined.select(
         *[clean(F.col(c)).alias(c) for c in TEXTS],
@@ -171,7 +172,7 @@ def report(devices: DataFrame, beams: DataFrame, expected: int | None = None) ->
         lower_offset(inputs).alias("lower_offset"),
         *[confirmed(inputs[c]).alias(c) for c in ("z_lower_level_mm", "z_upper_level_mm", "upper_beam_top_offset_mm", "upper_beam_height_mm")],
         *[clean(inputs[c]["status"]).alias(f"{c}_status") for c in ("upper_beam_top_offset_mm", "upper_beam_height_mm")],
-        *[anchorage(joined, role, F.col(f"{role}_ledger")).alias(f"{role}_anchorage") for role in ROLES],
+        *[anchorage(joined, role, F.col(f"{role}_ledger"), F.col(f"{role}_geometry")).alias(f"{role}_anchorage") for role in ROLES],
         *[beam_reference(joined, role).alias(f"{role}_beam") for role in ROLES],
         F.col("clear_height_mm").alias("baseline_clear_height_mm"),
     )

@@ -81,20 +81,26 @@ def hatch_evidence(loops: Column, most_loops: int = 512, most_points: int = 2000
     A loop without points, empty or null, counts as a loop.
     """
     n_of = lambda l: F.coalesce(F.size(l["points"]), F.lit(0))
-    first = F.slice(loops, 1, most_loops)
-    # points before each loop: at most most_loops numbers
-    before = F.aggregate(first, F.array(F.lit(0)), lambda a, l: F.concat(a, F.array(F.element_at(a, -1) + n_of(l))))
+    numbered = F.transform(F.slice(loops, 1, most_loops), lambda l, i: F.struct(i.alias("loop_index"), l["is_polyline"].alias("is_polyline"), l["points"].alias("points"), n_of(l).alias("n")))
 
-    def one(l: Column, i: Column) -> Column:
-        room = F.lit(most_points) - F.get(before, i)
-        points, over = l["points"], n_of(l) - room
+    def one(l: Column, room: Column) -> Column:
+        points, over = l["points"], l["n"] - room
         last, previous = F.try_element_at(points["role"], F.lit(-1)), F.try_element_at(points["role"], F.lit(-2))
         half_curve = ~l["is_polyline"] & (over == 1) & F.coalesce(previous == F.regexp_replace(last, "_end$", "_start"), F.lit(False)) & last.endswith("_end")
-        return F.when(room > 0, F.struct(i.alias("loop_index"), l["is_polyline"].alias("is_polyline"), F.slice(points, 1, F.greatest(room, F.lit(1))).alias("points"), ((over > 0) & ~half_curve).alias("cut")))
+        return F.struct(l["loop_index"].alias("loop_index"), l["is_polyline"].alias("is_polyline"), F.slice(points, 1, F.greatest(room, F.lit(1))).alias("points"), ((over > 0) & ~half_curve).alias("cut"))
 
-    kept = F.filter(F.transform(first, one), lambda l: l.isNotNull())
-    n_points = F.aggregate(kept, F.lit(0), lambda a, l: a + n_of(l))
-    return F.struct(kept.alias("loops"), F.size(loops).alias("n_loops"), n_points.alias("n_points"), ((F.size(loops) > F.size(kept)) | F.exists(kept, lambda l: l["cut"])).alias("truncated"))
+    # one fold carries the room that is left from loop to loop; a loop is kept where there is any
+    def add(a: Column, l: Column) -> Column:
+        room = a["room"]
+        return F.struct((room - l["n"]).alias("room"), F.when(room > 0, F.concat(a["kept"], F.array(one(l, room)))).otherwise(a["kept"]).alias("kept"))
+
+    def told(a: Column) -> Column:
+        kept, n_loops = a["kept"], F.size(loops)
+        n_points = F.aggregate(kept, F.lit(0), lambda n, l: n + n_of(l))
+        return F.struct(kept.alias("loops"), n_loops.alias("n_loops"), n_points.alias("n_points"), ((n_loops > F.size(kept)) | F.exists(kept, lambda l: l["cut"])).alias("truncated"))
+
+    none = F.filter(F.transform(numbered, lambda l: one(l, F.lit(most_points))), lambda l: F.lit(False))
+    return F.aggregate(numbered, F.struct(F.lit(most_points).alias("room"), none.alias("kept")), add, told)
 
 
 def frame_candidates(df: DataFrame) -> DataFrame:

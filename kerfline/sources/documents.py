@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.lineage import cut
 from ..operators.ordering import ranked
 
 _OPTIONS = {"mode": "FAILFAST", "allowNonNumericNumbers": "true"}
-_MARK = "﻿"
+_MARK = "\ufeff"
 
 
 def _failed(path: Column, why: str) -> Column:
@@ -24,12 +25,24 @@ def _failed(path: Column, why: str) -> Column:
 
 def read_whole(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """One row a file, of the wanted fields: the root must be an object, a byte-order mark is allowed, anything else stops the read."""
-    files = spark.read.option("wholetext", True).text(path).select(F.regexp_replace("value", f"^{_MARK}", "").alias("body"), F.col("_metadata.file_path").alias("file"))
+    _none_empty(spark, path)
+    files = spark.read.format("text").option("wholetext", True).load(path).select(F.regexp_replace("value", f"^{_MARK}", "").alias("body"), F.col("_metadata.file_path").alias("file"))
     whole = F.col("body").rlike(r"^\s*\{") & F.col("body").rlike(r"\}\s*$")
-    checked = F.when(whole, F.col("body")).otherwise(_failed(F.col("file"), "the root of a document must be one whole object").cast("string"))
+    checked = F.when(whole, F.col("body")).otherwise(_failed(F.col("file"), "malformed document, the root must be one whole object").cast("string"))
     return files.select(F.from_json(checked, schema, _OPTIONS).alias("d")).select("d.*")
 
 
+def _none_empty(spark: SparkSession, path: str) -> None:
+    """Stops the read if a file is empty, which scans would pass over; only names and lengths are looked at."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in fs.globStatus(root) or []:
+        for file in fs.listStatus(found.getPath()) if found.isDirectory() else [found]:
+            if not file.isDirectory() and not file.getPath().getName().startswith(("_", ".")) and file.getLen() == 0:
+                raise ValueError(f"not one whole object: {file.getPath()} is empty")
+
+
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, block, at, kind, name, body): the lines of all files; (block, at) is their order in a file."""
     rows = spark.read.text(path).select(F.trim(F.regexp_replace("value", f"^{_MARK}|\\s+$", "")).alias("t"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
@@ -42,6 +55,7 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 def _sections(spark: SparkSession, path: str, lines: DataFrame) -> DataFrame:
     """(file, sections): the arrays of each file, as (name, first, last) places. A file that is not one whole object in the layout of exports stops the read."""
+    _none_empty(spark, path)
     place = F.struct("block", "at").alias("place")
     marks = lines.where("kind NOT IN ('record', 'field')").groupBy("file").agg(F.array_sort(F.collect_list(F.struct(place, "kind", "name"))).alias("marks"))
     files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file")).join(marks, "file", "left")
@@ -58,11 +72,11 @@ def read_array(spark: SparkSession, path: str, array: str, schema: T.StructType
     object or holds anything that is no line of an export stops the read.
     """
     lines = _lines(spark, path)
-    sections = _sections(spark, path, lines)
-    rows = lines.where("kind = 'record'").join(sections, "file", "right")
+    sections = cut(_sections(spark, path, lines))
+    rows = lines.where("kind = 'record'").join(sections, "file")
     at = F.struct("block", "at")
     inside = F.exists("sections", lambda s: (s["name"] == array) & (s["first"] < at) & (at < s["last"]))
-    records = rows.where("kind IS NOT NULL").where(inside & (F.col("body") != "null")).select("file", "block", "at", "body")
+    records = rows.where(inside & (F.col("body") != "null")).select("file", "block", "at", "body")
     numbered = ranked(records, ["block", "at"], "ordinal", within=["file"])
     return numbered.select("file", (F.col("ordinal") - 1).alias("ordinal"), F.from_json("body", schema, _OPTIONS).alias("r")).select("file", "ordinal", "r.*")
 
@@ -70,9 +84,9 @@ def read_array(spark: SparkSession, path: str, array: str, schema: T.StructType
 def read_header(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """(file, the wanted fields) outside of the arrays; a field that a document lacks is null."""
     lines = _lines(spark, path)
-    sections = _sections(spark, path, lines).select("file", (F.size("sections") >= 0).alias("whole"))
+    sections = cut(_sections(spark, path, lines)).select("file")
     fields = lines.where("kind = 'field'").groupBy("file").agg(F.concat(F.lit("{"), F.array_join(F.collect_list("body"), ","), F.lit("}")).alias("body"))
-    found = sections.where("whole").join(fields, "file", "left")
+    found = sections.join(fields, "file", "left")
     return found.select("file", F.from_json(F.coalesce("body", F.lit("{}")), schema, _OPTIONS).alias("h")).select("file", "h.*")
 
 
@@ -142,13 +156,15 @@ def write_documents(header: DataFrame, arrays: dict[str, tuple[DataFrame, list]]
 
     The lines of a document are written by one task, as they stream out of its sort, to a
     hidden folder; only when all are written do they get their names. A document with that
-    name is replaced. A key that header has twice is an error, and records without a header
-    are too.
+    name is replaced. Keys that header has twice, or that are no file names, are an error,
+    and records without a header are too.
     """
     spark = header.sparkSession
-    twice = header.groupBy(key).count().where("count > 1 OR " + key + " IS NULL").limit(1).count()
-    if twice:
+    names = header.groupBy(F.col(key).cast("string").alias("key")).count()
+    if names.where("count > 1 OR key IS NULL").limit(1).count():
         raise ValueError(f"{key} must tell the documents apart")
+    if names.where("key = '' OR key RLIKE '[/:]'").limit(1).count():
+        raise ValueError(f"{key} must be a name that a file can have")
     for name, (records, _) in arrays.items():
         if records.join(header.select(key), key, "left_anti").limit(1).count():
             raise ValueError(f"records of {name} belong to no document")

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import documents
+
 
 def read_document(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """JSON documents, one object a file, a byte-order mark allowed; anything else fails."""
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").option("allowNonNumericNumbers", True).json(path)
+    """JSON documents, one object a file, a byte-order mark allowed; anything else fails, a root array too."""
+    return documents.read_whole(spark, path, schema)
 
 
 # fixed values: what the names of a drawing's six documents end in

@@ -5,13 +5,15 @@ lines beside it; a transition score couples neighbours. Forward-backward gives e
 line's marginal, and the length-weighted mean of the marginals is the document's
 evidence, which a logistic curve fitted on other labelled rows turns into a score.
 
-Defined cases: null and empty texts are one empty line and get a score like any other;
-without labelled rows of both classes every score is the share of good rows (0.5
+Defined cases: null and empty texts are one empty line and get a score like any other; a
+very long text is read whole, its features some lines at a time, and its chain is one; an
+empty table gives no rows; without labelled rows of both classes every score is the share of good rows (0.5
 without any). Repeated rows and ties are scored alike; other columns are not looked at.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -131,6 +133,56 @@ def train(x: np.ndarray, lines: np.ndarray, y: np.ndarray, rounds: int = 120, ra
     return theta[: x.shape[1] + 1], theta[-4:].reshape(2, 2)
 
 
+#: A text of more lines than this is scored by itself, so many lines at a time.
+LONG = 20_000
+
+
+def long_chain(unary: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """P(good) of each line of one chain, as marginals() has it, from the log-odds of each line alone; step by step, in a few numbers a line."""
+    (m00, m01), (m10, m11) = np.exp(move - move.max()).tolist()
+    n, own = len(unary), np.clip(unary, -50, 50).tolist()
+    ahead, behind = [0.0] * n, [0.0] * n
+    odds = 0.0  # log-odds of good by what comes before, and then by what comes after
+    for t in range(n):
+        if t:
+            e = math.exp(ahead[t - 1])
+            odds = math.log((m01 + m11 * e) / (m00 + m10 * e))
+        ahead[t] = min(max(odds + own[t], -600.0), 600.0)
+    odds = 0.0
+    for t in range(n - 2, -1, -1):
+        e = math.exp(min(max(odds + own[t + 1], -600.0), 600.0))
+        odds = behind[t] = math.log((m10 + m11 * e) / (m00 + m01 * e))
+    return 1 / (1 + np.exp(-np.clip(np.array(ahead) + np.array(behind), -700, 700)))
+
+
+def long_features(text: bytes, at_once: int = LONG):
+    """Yields (features, bytes) of the lines of one text, at_once lines at a time, as line_features() has them of the whole text."""
+    data = np.frombuffer(text + b"\n", np.uint8)
+    stops = np.flatnonzero(data == 10)
+    starts = np.concatenate(([0], stops[:-1] + 1))
+    n, cuts = len(stops), list(range(0, len(stops), at_once))
+    hashes = np.empty(n, np.uint64)
+    for a in cuts:
+        b = min(n, a + at_once)
+        part = data[starts[a] : stops[b - 1] + 1]
+        hashes[a:b] = blocks.range_hashes(blocks.prefix_sums(blocks.BYTE_VALUES[part]), starts[a:b] - starts[a], stops[a:b] - starts[a])
+    _, of, count = np.unique(hashes, return_inverse=True, return_counts=True)
+    copies = np.minimum(count[of] - 1, 5) / 5
+    for a in cuts:
+        b = min(n, a + at_once)
+        lo, hi = max(0, a - 1), min(n, b + 1)  # with the lines beside
+        x, size, _ = line_features(pa.array([data[starts[lo] : stops[hi - 1]].tobytes()], pa.binary()))
+        near = np.concatenate(([0.0] * (lo == 0), copies[lo:hi], [0.0] * (hi == n)))
+        near = near if lo == 0 else np.concatenate(([0.0], near))
+        near = near if hi == n else np.concatenate((near, [0.0]))
+        x[:, OWN - 1], x[:, 2 * OWN - 1], x[:, 3 * OWN - 1] = copies[lo:hi], near[:-2], near[2:]
+        x[:, -1] = np.log1p(n) / 5
+        inner = slice(a - lo, a - lo + b - a)
+        x, size = x[inner], size[inner]
+        x[:, -3], x[:, -2] = np.arange(a, b) == 0, np.arange(a, b) == n - 1
+        yield x, size
+
+
 @dataclass
 class QualityModel:
     weights: np.ndarray | None
@@ -153,22 +205,36 @@ class QualityModel:
         p = np.clip(good, 1e-4, 1 - 1e-4)
         return mean(good), mean(np.log(p / (1 - p)))
 
+    def long_evidence(self, text: bytes) -> tuple[float, float]:
+        """evidence() of one text of very many lines."""
+        unary, size = (np.concatenate(parts) for parts in zip(*((x @ self.weights[:-1] + self.weights[-1], size) for x, size in long_features(text))))
+        good = long_chain(unary, self.move)
+        p = np.clip(good, 1e-4, 1 - 1e-4)
+        return float(np.average(good, weights=size)), float(np.average(np.log(p / (1 - p)), weights=size))
+
     def score(self, column) -> np.ndarray:
         if self.weights is None:
             return np.full(len(column), self.prior)
         a, b, c = self.curve
-        good, odds = self.evidence(column)
+        raw, off = blocks.utf8(column)
+        if len(off) == 2 and np.count_nonzero(raw == 10) > LONG:  # sliced() gives a large text alone
+            good, odds = (np.array([v]) for v in self.long_evidence(raw.tobytes()))
+        else:
+            good, odds = self.evidence(column)
         return 1 / (1 + np.exp(-np.clip(a + b * good + c * odds, -35, 35)))
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "quality", doc_id: str = "doc_id", max_rows: int = 6000) -> QualityModel:
-    """labelled has doc_id, text and label (0 or 1). About max_rows rows are used: lines of two thirds train the field, the rest the curve."""
+def fit(labelled: DataFrame, text: str = "text", label: str = "quality", doc_id: str = "doc_id", max_rows: int = 6000, max_lines: int = 300_000) -> QualityModel:
+    """labelled has doc_id, text and label (0 or 1). About max_rows rows are used, of about max_lines lines, none with more than a fiftieth of these: lines of two thirds train the field, the rest the curve."""
     from .toxicity import _logistic
 
     rows = labelled.where(labelled[label].isNotNull()).select(labelled[doc_id].alias("doc_id"), labelled[text].alias("text"), labelled[label].cast("long").alias("y"))
-    total = rows.count()
-    if total > max_rows:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) < int(1_000_000 * max_rows / total) + 1)
+    n_lines = F.length(F.coalesce("text", F.lit(""))) - F.length(F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(""))) + 1
+    rows = rows.where(n_lines <= max_lines // 50)
+    total, of_lines = rows.agg(F.count("*"), F.coalesce(F.sum(n_lines), F.lit(0))).first()
+    if total > max_rows or of_lines > max_lines:
+        share = min(max_rows / total, max_lines / of_lines)
+        rows = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) < int(1_000_000 * share) + 1)
 
     def featured(batches):
         for batch in blocks.sliced(batches, "text"):
@@ -178,7 +244,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "quality", doc_id:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([flat[s : s + k].tobytes() for s, k in zip(first, lines)], pa.binary()), pa.array([size[s : s + k].astype(np.int64).tobytes() for s, k in zip(first, lines)], pa.binary())], names=["doc_id", "y", "x", "size"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    got = rows.select("doc_id", "text", "y").mapInArrow(featured, f"doc_id {kind}, y long, x binary, size binary").toPandas()  # bounded by max_rows
+    got = rows.select("doc_id", "text", "y").mapInArrow(featured, f"doc_id {kind}, y long, x binary, size binary").toPandas()  # bounded by max_lines
     if got["y"].nunique() < 2:
         return QualityModel(None, None, (0.0, 0.0, 0.0), float(got["y"].mean()) if len(got) else 0.5)
     got = got.sort_values("doc_id", kind="stable", ignore_index=True)

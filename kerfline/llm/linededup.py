@@ -1,7 +1,8 @@
 """Line dedup by site-relative frequency, with DataFrame functions only.
 
 A line is boilerplate on a host when more than `ratio` of the host's pages, and at least
-min_pages of them, hold it. Such lines are dropped from all pages of that host.
+min_pages of them, hold it; a host of fewer pages, but two at least, loses the lines that
+all of them hold. Such lines are dropped from all pages of that host.
 
 Defined cases: a null text stays null and counts as a page without lines; blank lines
 are never boilerplate; null hosts form one host; a page counts a repeated line once, and
@@ -31,8 +32,9 @@ def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio
     rows = docs.select(docs[host].alias("host"), docs[text].alias("text"))
     pages = rows.groupBy("host").agg(F.count("*").alias("pages"))
     lines = rows.select("host", F.explode(F.array_distinct(F.transform(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""), lambda x: F.xxhash64(x)))).alias("line"))
-    held = lines.groupBy("host", "line").agg(F.count("*").alias("held")).where(F.col("held") >= min_pages)
-    common = held.join(pages, held["host"].eqNullSafe(pages["host"])).where(F.col("held") > F.col("pages") * F.lit(ratio))
+    held = lines.groupBy("host", "line").agg(F.count("*").alias("held")).where(F.col("held") >= min(2, min_pages))
+    enough = (F.col("held") > F.col("pages") * F.lit(ratio)) & (F.col("held") >= F.least(F.lit(min_pages), F.greatest(F.col("pages"), F.lit(2))))
+    common = held.join(pages, held["host"].eqNullSafe(pages["host"])).where(enough)
     return common.groupBy(held["host"]).agg(F.collect_list("line").alias("lines"))
 
 

@@ -99,7 +99,7 @@ WITH split AS (SELECT rowid_ AS r, source, unnest(string_split(text, chr(10))) A
                FROM (SELECT *, row_number() OVER () AS rowid_ FROM documents) AS d),
 pages AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
 held AS (SELECT source, line, count(DISTINCT r) AS held FROM split WHERE trim(line) <> '' GROUP BY source, line),
-common AS (SELECT h.source, h.line FROM held h JOIN pages p ON h.source IS NOT DISTINCT FROM p.source WHERE h.held >= 5 AND h.held > p.pages * 0.05),
+common AS (SELECT h.source, h.line FROM held h JOIN pages p ON h.source IS NOT DISTINCT FROM p.source WHERE h.held >= least(5, greatest(p.pages, 2)) AND h.held > p.pages * 0.05),
 kept AS (SELECT s.r, count(*) AS n_lines, count(c.line) AS n_dropped,
                 coalesce(string_agg(s.line, chr(10) ORDER BY s.place) FILTER (WHERE c.line IS NULL), '') AS text
          FROM split s LEFT JOIN common c ON s.source IS NOT DISTINCT FROM c.source AND s.line = c.line GROUP BY s.r)

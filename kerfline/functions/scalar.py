@@ -251,3 +251,13 @@ def reasons(*pairs: tuple[Column, str], default: str = "") -> Column:
     """The texts whose condition holds, in order, joined by ;"""
     text = F.concat_ws(";", *[F.when(c, F.lit(t)) for c, t in pairs])
     return F.when(text == "", F.lit(default)).otherwise(text)
+
+
+def visibility_reason(parent_visible: Column, entity_visible: Column, layer: Column, inherits: Column) -> Column:
+    """Why an instance is hidden in the database, all reasons in order; layer is a struct (is_off, is_frozen, is_hidden), null where it could not be read."""
+    # fixed values: the reasons, and what is said without any
+    return reasons(
+        (~parent_visible, "hidden_parent"), (~entity_visible, "entity_visible_false"), (layer.isNull(), "effective_layer_unreadable"),
+        (layer["is_off"], "effective_layer_off"), (layer["is_frozen"], "effective_layer_frozen"), (layer["is_hidden"], "effective_layer_hidden"),
+        (inherits, "layer0_inherits_parent_layer"), default="visible_in_database",
+    )

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar
 from . import diff, gates, lookups
+from .lineage import cut
 
 # fixed values: the states that reports carry
 COMPLETE, INCOMPLETE = "device_location_registry_complete", "device_location_registry_unresolved"
@@ -70,3 +73,48 @@ def tree_drift(source: DataFrame, installed: DataFrame) -> DataFrame:
     rows = diff.matched_keys(source, installed, "path", ["sha256"]).where("side <> 'both' OR fields <> ''")
     listed = rows.agg(F.array_sort(F.collect_list("key")).alias("differences"))
     return listed.select(F.when(F.size("differences") == 0, IN_SYNC).otherwise(DRIFTED).alias("status"), "differences")
+
+
+def _rolled(files: DataFrame) -> DataFrame:
+    """(node, parent, depth, hash, is_file) of all files (path, sha256) and folders: a folder's hash is that of the names and hashes in it, in any order."""
+    node = files.select(F.col("path").alias("node"), F.col("sha256").alias("hash"), F.lit(True).alias("is_file")).withColumn("depth", F.size(F.split("node", "/")))
+    folder = lambda c: F.when(F.instr(c, "/") > 0, F.regexp_replace(c, "/[^/]*$", "")).otherwise("")
+    node = node.withColumn("parent", F.when(F.col("node") != "", folder(F.col("node"))))
+    deepest = node.agg(F.max("depth")).first()[0] or 0
+    level, out = node.where(F.col("depth") == deepest), []
+    for depth in range(deepest, 0, -1):
+        level = cut(level)
+        out.append(level)
+        of = F.xxhash64("node", "hash", "is_file")
+        up = level.groupBy(F.col("parent").alias("node")).agg(F.sha2(F.concat_ws(",", F.bit_xor(of), F.sum(of % (1 << 31)), F.count("*")).cast("binary"), 256).alias("hash"))
+        up = up.select("node", "hash", F.lit(False).alias("is_file"), F.lit(depth - 1).alias("depth"), F.when(F.col("node") != "", folder(F.col("node"))).alias("parent"))
+        level = up.union(node.where(F.col("depth") == depth - 1).select(up.columns)) if depth > 1 else up
+    return reduce(DataFrame.unionByName, [*out, cut(level)])
+
+
+def tree_differences(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(path, side, is_file) of two trees (path, sha256): what only one has, side 'left' or 'right', and files that differ, 'both'.
+
+    Hashes are rolled up the folders, so that only inside of folders that differ anything is
+    compared, from the roots down; a folder that one side lacks is one row, ending in a
+    slash. A path that is a folder here and a file there is told for both sides. Trees must
+    name a path once.
+    """
+    sides = [cut(_rolled(t)) for t in (left, right)]
+    l, r = (t.select("node", "parent", "depth", F.struct("hash", "is_file").alias(name)) for t, name in zip(sides, "lr"))
+    both = cut(l.withColumnRenamed("parent", "lp").join(r.withColumnRenamed("parent", "rp"), ["node", "depth"], "full_outer").select("node", "depth", F.coalesce("lp", "rp").alias("parent"), "l", "r"))
+    differ = both.where(~F.col("l").eqNullSafe(F.col("r")))
+    last = both.agg(F.max("depth")).first()[0] or 0
+    opened, out = cut(differ.where("depth = 0 AND l IS NOT NULL AND r IS NOT NULL")), [differ.where("depth = 0 AND (l IS NULL OR r IS NULL)")]
+    for depth in range(1, last + 1):
+        if opened.limit(1).count() == 0:
+            break
+        here = cut(differ.where(F.col("depth") == depth).join(opened.select(F.col("node").alias("parent")), "parent", "left_semi"))
+        folders = F.coalesce(~F.col("l.is_file") & ~F.col("r.is_file"), F.lit(False))
+        out.append(here.where(~folders).select(*differ.columns))
+        opened = here.where(folders)
+    found = reduce(DataFrame.union, out)
+    kind = F.when(F.col("l").isNull(), F.array(F.lit("right"))).when(F.col("r").isNull() , F.array(F.lit("left"))).when(F.col("l.is_file") != F.col("r.is_file"), F.array(F.lit("left"), F.lit("right"))).otherwise(F.array(F.lit("both")))
+    rows = found.withColumn("side", F.explode(kind))
+    is_file = F.when(F.col("side") == "right", F.col("r.is_file")).otherwise(F.col("l.is_file"))
+    return rows.select(F.concat("node", F.when(is_file, "").otherwise("/")).alias("path"), "side", is_file.alias("is_file"))

@@ -34,7 +34,7 @@ def portable_errors(documents: DataFrame, statuses: tuple[str, ...] = STATUSES,
     where = F.concat(F.lit("evidence_records["), F.col("place").cast("string"), F.lit("]."))
     each = rows.select("document", F.explode(F.filter(F.array(*[F.when(bad, F.concat(where, F.lit(name))) for name, bad in broken]), lambda x: x.isNotNull())).alias("error"))
     twice = rows.where("instance_key IS NOT NULL").groupBy("document", "instance_key").agg(F.count("*").alias("n")).where("n > 1")
-    return diff.union_all([whole, each, twice.select("document", F.concat(F.lit("duplicate instance_key: "), "instance_key").alias("error"))])
+    return diff.union_all([whole, each, twice.select("document", F.concat(F.lit("instance_key given more than once: "), "instance_key").alias("error"))])
 
 
 # fixed values: the order in which readers are tried, and the status under which each is chosen
@@ -72,8 +72,8 @@ def route_errors(routes: DataFrame, hosts=gates.HOSTS, host_name: str = "AutoCAD
         ("selected_backend does not match status", wanted.isNotNull() & ~F.col("selected_backend").eqNullSafe(wanted)),
         ("a selected backend must have a selected_output", wanted.isNotNull() & (F.coalesce(F.col("selected_output"), F.lit("")) == "")),
         ("attempts must not be empty", empty),
-        (f"{next(iter(ROUTE))} must be attempted first", ~empty & ~F.get(attempts, F.lit(0))["backend"].eqNullSafe(F.lit(next(iter(ROUTE))))),
-        ("selected backend has no successful attempt", ~empty & wanted.isNotNull() & ~F.coalesce(F.exists(attempts, lambda a: (a["backend"] == wanted) & (a["status"] == "success")), F.lit(False))),
+        (f"the first attempt is not one of {next(iter(ROUTE))}", ~empty & ~F.get(attempts, F.lit(0))["backend"].eqNullSafe(F.lit(next(iter(ROUTE))))),
+        ("no attempt of the chosen reader succeeded", ~empty & wanted.isNotNull() & ~F.coalesce(F.exists(attempts, lambda a: (a["backend"] == wanted) & (a["status"] == "success")), F.lit(False))),
         (f"{HASH_CHANGED} requires a changed hash", ~empty & (status == HASH_CHANGED) & unchanged),
     ]
     whole = rules.run_rules(routes, "document", checks).withColumnRenamed("rule", "error")
@@ -107,7 +107,7 @@ def assistant_route(config: Mapping, environment: Mapping[str, str], base_sees_i
         "schema_version is not supported": config.get("schema_version") != CONFIG_VERSION,
         "an enabled assistant must take images": on and not images,
         "use_for has a value that is not supported": not set(config.get("use_for") or ()) <= set(USES),
-        "formal_confirmation_allowed must be false": config.get("formal_confirmation_allowed") is not False,
+        "formal_confirmation_allowed has to stay off": config.get("formal_confirmation_allowed") is not False,
     }
     errors = [message for message, bad in wrong.items() if bad]
     complete = all(config.get(k) for k in ("provider", "model", "api_key_env")) and bool(environment.get(config["api_key_env"]))

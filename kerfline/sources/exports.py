@@ -49,11 +49,11 @@ def records(document: DataFrame, field: str = "records") -> DataFrame:
     return document.select(F.posexplode(field).alias("ordinal", "r")).where("r IS NOT NULL").select("ordinal", "r.*")
 
 
-def snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """(path, sha256, bytes, version) of files: upper-case hash, and the drawing version from the first 6 bytes."""
+def snapshot(spark: SparkSession, path: str, role: str = "") -> DataFrame:
+    """(role, path, sha256, bytes, version) of files: upper-case hash, and the drawing version from the first 6 bytes."""
     files = spark.read.format("binaryFile").load(path)
     head = F.decode(F.substring("content", 1, 6), "ISO-8859-1")
-    return files.select("path", F.upper(F.sha2("content", 256)).alias("sha256"), F.col("length").alias("bytes"), F.when(head.rlike("^AC[0-9]{4}$"), head).otherwise("UNRECOGNIZED").alias("version"))
+    return files.select(F.lit(role).alias("role"), "path", F.upper(F.sha2("content", 256)).alias("sha256"), F.col("length").alias("bytes"), F.when(head.rlike("^AC[0-9]{4}$"), head).otherwise("UNRECOGNIZED").alias("version"))
 
 
 def layout_entities(block_def: DataFrame, entity: DataFrame) -> DataFrame:

@@ -66,3 +66,26 @@ def completeness(df: DataFrame, flags: dict[str, Column]) -> DataFrame:
     held = df.agg(*[F.coalesce(F.bool_and(F.coalesce(c, F.lit(False))), F.lit(True)).alias(f"f{i}") for i, c in enumerate(flags.values())])
     reasons = F.filter(F.array(*chain(*[[F.when(~F.col(f"f{i}"), F.lit(name))] for i, name in enumerate(flags)])), lambda x: x.isNotNull())
     return held.select((F.size(reasons) == 0).alias("complete"), reasons.alias("reasons"))
+
+
+# fixed values: the version of a whole side index, the space that its texts' rotations are in, and the two states of the gate
+INDEX_VERSION, WORLD = "D2L-sidedb-2.2", "WCS"
+GATE_PASSED, GATE_FAILED = "evidence_gate_passed", "evidence_gate_failed"
+
+
+def index_gate(headers: DataFrame, records: DataFrame, key: str = "drawing") -> DataFrame:
+    """(key, status, reasons): whether a side index may stand as evidence; reasons name what does not hold, in order.
+
+    headers has key, schema_version, truncated and skipped_object_count; records has key,
+    kind, effective_visible, effective_plottable and rotation_space. Each record must say
+    whether it is shown and plotted, and each text must be turned in the world.
+    """
+    text = F.col("kind") == "text"
+    by = records.groupBy(F.col(key).alias("key_")).agg(F.count("*").alias("n"), F.count_if(F.col("effective_visible").isNull() | F.col("effective_plottable").isNull()).alias("unsaid"), F.count_if(text & ~F.col("rotation_space").eqNullSafe(F.lit(WORLD))).alias("unturned"))
+    rows = headers.join(by, headers[key] == by["key_"], "left")
+    checks = {
+        "schema_version": ~F.col("schema_version").eqNullSafe(F.lit(INDEX_VERSION)), "truncated": ~F.col("truncated").eqNullSafe(F.lit(False)), "skipped_object_count": ~F.col("skipped_object_count").cast("long").eqNullSafe(F.lit(0).cast("long")),
+        "no_records": F.col("n").isNull(), "visibility_fields": F.coalesce(F.col("unsaid") > 0, F.lit(False)), "rotation_space": F.coalesce(F.col("unturned") > 0, F.lit(False)),
+    }
+    reasons = F.concat_ws(";", *[F.when(bad, F.lit(name)) for name, bad in checks.items()])
+    return rows.select(headers[key], F.when(reasons == "", GATE_PASSED).otherwise(GATE_FAILED).alias("status"), reasons.alias("reasons"))

@@ -72,6 +72,36 @@ def kind_record(df: DataFrame) -> DataFrame:
     return df.withColumns({"kind": kind, "points": points, "closed": F.when(kind == "entity_bounds", True).otherwise(F.col("closed"))})
 
 
+# fixed values: classes of texts and of inserts, and their kinds
+TEXT_CLASSES, INSERT_CLASS = ("DBText", "MText", "AttributeReference", "AttributeDefinition"), "BlockReference"
+
+
+def evidence_records(df: DataFrame, most_loops: int = 512, most_points: int = 20000) -> DataFrame:
+    """df with (kind, points, closed, radius, start_angle, end_angle, text, x, y, z, measurement, hatch) of every kind of record.
+
+    df has class and what its classes have of position, text, closed, start, end, center,
+    radius, start_angle, end_angle, vertices, bounds, loops, text_position, measurement and
+    the points of dimensions; a column that it lacks is null for all. A text and an insert
+    have a position and no points, a dimension its text's position and the points that it
+    has, a hatch its loops and the corners of its bounds; all others are as in kind_record().
+    A field that a kind does not have is null.
+    """
+    point = "struct<x:double,y:double,z:double>"
+    may = {"position": point, "text": "string", "closed": "boolean", "start": point, "end": point, "center": point, "radius": "double", "start_angle": "double", "end_angle": "double", "vertices": f"array<{point}>", "bounds": f"struct<min:{point},max:{point}>", "loops": "array<struct<is_polyline:boolean,points:array<struct<role:string,x:double,y:double>>>>", "text_position": point, "measurement": "double"}
+    rows = kind_record(df.withColumns({k: F.lit(None).cast(t) for k, t in may.items() if k not in df.columns}))
+    cls = F.col("class")
+    text, insert, dimension, hatch = cls.isin(*TEXT_CLASSES), cls == INSERT_CLASS, F.coalesce(cls.endswith("Dimension"), F.lit(False)), cls == "Hatch"
+    placed = text | insert
+    none = F.filter("points", lambda p: F.lit(False))
+    kind = F.when(text, "text").when(insert, "block_reference").when(dimension, "dimension").when(hatch, "hatch").otherwise(F.col("kind"))
+    at = F.when(placed, F.col("position")).when(dimension, F.col("text_position"))
+    return rows.withColumns({
+        "kind": kind, "points": F.when(placed, none).when(dimension, dimension_points(rows)).otherwise(F.col("points")), "closed": F.when(placed | dimension, False).when(hatch, F.size("points") > 0).otherwise(F.coalesce("closed", F.lit(False))),
+        "radius": F.when(cls.isin("Circle", "Arc"), F.col("radius")), "start_angle": F.when(cls == "Arc", F.col("start_angle")), "end_angle": F.when(cls == "Arc", F.col("end_angle")),
+        "text": F.when(text | dimension, F.coalesce("text", F.lit(""))), "x": at["x"], "y": at["y"], "z": at["z"], "measurement": F.when(dimension, F.col("measurement")), "hatch": F.when(hatch & F.col("loops").isNotNull(), hatch_evidence(F.col("loops"), most_loops, most_points)),
+    })
+
+
 def hatch_evidence(loops: Column, most_loops: int = 512, most_points: int = 20000) -> Column:
     """(loops, n_loops, n_points, truncated) of an array of loops (is_polyline, points (role, ..)).
 

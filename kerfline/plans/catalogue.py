@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry, scalar
 from ..operators import diff, hierarchy, ordering, rules
 from ..sources import exports
-from . import compared, placed, projected, records, traversed  # noqa: F401  register their queries
+from . import compared, placed, projected, records, scanned, traversed  # noqa: F401  register their queries
 from .registry import QUERIES, SQL, TABLES, query, table
 
 def edited_lineitem(spark, sf_dir):

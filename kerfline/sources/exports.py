@@ -62,13 +62,6 @@ def layout_entities(block_def: DataFrame, entity: DataFrame) -> DataFrame:
     return entity.join(spaces, ["drawing", "owner_def"], "left_semi")
 
 
-def write_document(df: DataFrame, path: str, header: dict) -> None:
-    """One JSON line a row below the path, and the header in a file of its own."""
-    df.write.mode("overwrite").json(f"{path}/records")
-    spark = df.sparkSession
-    spark.createDataFrame([(json.dumps(header, ensure_ascii=False),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/header")
-
-
 def canonical_hash(report: dict) -> str:
     """Upper-case SHA-256 of the canonical JSON text: sorted keys, compact, a line feed at the end."""
     text = json.dumps(report, ensure_ascii=False, sort_keys=True, separators=(",", ":")) + "\n"

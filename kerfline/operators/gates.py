@@ -68,8 +68,8 @@ def completeness(df: DataFrame, flags: dict[str, Column]) -> DataFrame:
     return held.select((F.size(reasons) == 0).alias("complete"), reasons.alias("reasons"))
 
 
-# fixed values: the version of a whole side index, the space that its texts' rotations are in, and the two states of the gate
-INDEX_VERSION, WORLD = "D2L-sidedb-2.2", "WCS"
+# fixed values: the version of a whole side index, the spaces of rotations that are the world's, and the two states of the gate
+INDEX_VERSION, WORLD = "D2L-sidedb-2.2", ("entity-world", "expanded-world")
 GATE_PASSED, GATE_FAILED = "evidence_gate_passed", "evidence_gate_failed"
 
 
@@ -81,7 +81,7 @@ def index_gate(headers: DataFrame, records: DataFrame, key: str = "drawing") ->
     whether it is shown and plotted, and each text must be turned in the world.
     """
     text = F.col("kind") == "text"
-    by = records.groupBy(F.col(key).alias("key_")).agg(F.count("*").alias("n"), F.count_if(F.col("effective_visible").isNull() | F.col("effective_plottable").isNull()).alias("unsaid"), F.count_if(text & ~F.col("rotation_space").eqNullSafe(F.lit(WORLD))).alias("unturned"))
+    by = records.groupBy(F.col(key).alias("key_")).agg(F.count("*").alias("n"), F.count_if(F.col("effective_visible").isNull() | F.col("effective_plottable").isNull()).alias("unsaid"), F.count_if(text & ~F.coalesce(F.col("rotation_space").isin(*WORLD), F.lit(False))).alias("unturned"))
     rows = headers.join(by, headers[key] == by["key_"], "left")
     checks = {
         "schema_version": ~F.col("schema_version").eqNullSafe(F.lit(INDEX_VERSION)), "truncated": ~F.col("truncated").eqNullSafe(F.lit(False)), "skipped_object_count": ~F.col("skipped_object_count").cast("long").eqNullSafe(F.lit(0).cast("long")),

@@ -143,10 +143,10 @@ def first_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
     return [bins.place(s) for s in sizes]
 
 
-def dealt(cut: DataFrame, group_pieces: int) -> DataFrame:
-    """pieces() with pack_group: dealt at random to groups of about group_pieces pieces, equal pieces apart."""
+def dealt(cut: DataFrame, group_rows: int) -> DataFrame:
+    """pieces() with pack_group: dealt at random to groups of about group_rows pieces, equal pieces apart."""
     cut = blocks.cut(cut)  # the places of the rows stay as they are
-    groups = max(1, -(-cut.count() // group_pieces))
+    groups = max(1, -(-cut.count() // group_rows))
     return cut.withColumn("pack_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
 
 
@@ -169,6 +169,6 @@ def filled(grouped: DataFrame, assign: Callable[[list[int], int], list[int]], le
     return grouped.groupBy("pack_group").applyInArrow(fill, f"{schema}, sequence_id long, offset long")
 
 
-def pack(docs: DataFrame, path: str, length: int = 2048, group_pieces: int = 4096, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """pieces() with sequence_id and offset. Groups hold about group_pieces pieces each, however long a document is."""
-    return filled(dealt(pieces(docs, path, length, text, doc_id), group_pieces), first_fit_decreasing, length)
+def pack(docs: DataFrame, path: str, length: int = 2048, group_rows: int = 4096, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """pieces() with sequence_id and offset. Groups hold about group_rows pieces each, however long a document is."""
+    return filled(dealt(pieces(docs, path, length, text, doc_id), group_rows), first_fit_decreasing, length)

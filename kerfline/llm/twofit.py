@@ -76,8 +76,8 @@ def best_two_fit(sizes: list[int], capacity: int) -> list[int]:
     return out
 
 
-def pack(docs: DataFrame, path: str, length: int = 2048, group_pieces: int = 16384, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32, doc_tokens, sequence_id, offset) of every piece; groups hold about group_pieces pieces each."""
+def pack(docs: DataFrame, path: str, length: int = 2048, group_rows: int = 16384, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32, doc_tokens, sequence_id, offset) of every piece; groups hold about group_rows pieces each."""
     cut = packing.pieces(docs, path, length, text, doc_id, CLOSING)
-    packed = packing.filled(packing.dealt(cut, group_pieces), best_two_fit, length)
+    packed = packing.filled(packing.dealt(cut, group_rows), best_two_fit, length)
     return packed.withColumn("piece", F.expr(f"int(start div {length})"))

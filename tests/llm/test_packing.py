@@ -97,7 +97,7 @@ def test_edges(spark, pack, closing):
     documents = [(2**60 + 1, "one two"), (2**60 + 2, "one two"), (2**60 + 2, "one two"), (None, "none"), (5, None), (6, ""), (7, long), (8, "x" * 5000)]
     table = spark.createDataFrame([(i, t, "p", 1, 2) for i, t in documents], "doc_id long, text string, pack_group string, length int, sequence_id int")
     path = queries.token_path()
-    got = pack(table, path, group_pieces=4)
+    got = pack(table, path, group_rows=4)
     rows = [r.asDict() for r in got.collect()]
     checked(rows, documents, closing, path)
     groups = defaultdict(int)

@@ -118,3 +118,36 @@ def tree_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     rows = found.withColumn("side", F.explode(kind))
     is_file = F.when(F.col("side") == "right", F.col("r.is_file")).otherwise(F.col("l.is_file"))
     return rows.select(F.concat("node", F.when(is_file, "").otherwise("/")).alias("path"), "side", is_file.alias("is_file"))
+
+
+# fixed values: what file names and folders say of a drawing's role, the first that holds, and the tiers with their priority
+ROLES = (("目录|说明", "reference"), ("阻尼器|结构平面|结构整图", "selected"), ("梁|柱|墙|板|基础|节点", "supporting"))
+TIERS = ("selected", "project_package_candidate", "supporting", "uncertain", "reference", "older_revision", "exact_duplicate", "excluded")
+
+
+def directory_tiers(files: DataFrame, excluded: str | None = None, roles=ROLES) -> DataFrame:
+    """(path, sha256, family, file_date, role, tier, priority) of a folder's drawings (path, sha256), by their names alone.
+
+    A name's family is the name without folders, case, its end and a date of eight digits.
+    Names that `excluded` matches are of another trade. A drawing at the top that is a name
+    and a date is a package of the project. Of a family those with an earlier date than its
+    latest are older revisions, and of equal files in a family only the first path is kept.
+    None of this says which version is in force; files are told apart, and none is left out.
+    """
+    name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")
+    rows = files.select("path", "sha256", name.alias("name_")).withColumn("file_date", F.regexp_extract("name_", r"(?<!\d)(\d{8})(?!\d)", 1))
+    bare = F.lower(F.regexp_replace(F.regexp_replace("name_", r"(?<!\d)\d{8}(?!\d)", ""), r"[\s_\-.]+", ""))
+    rows = rows.withColumns({"file_date": F.when(F.col("file_date") != "", F.col("file_date")), "family": bare})
+    role = None
+    for pattern, tier in roles:
+        role = F.when(F.col("path").rlike(pattern), tier) if role is None else role.when(F.col("path").rlike(pattern), tier)
+    package = ~F.contains("path", F.lit("/")) & F.col("file_date").isNotNull() & (F.col("family") != "")
+    other = F.col("path").rlike(excluded) if excluded else F.lit(False)
+    rows = cut(rows.withColumn("role", F.when(other, "excluded").otherwise(F.coalesce(role, F.when(package, "project_package_candidate"), F.lit("uncertain")))))
+    latest = rows.groupBy(F.col("family").alias("family_")).agg(F.max("file_date").alias("latest_"))
+    first = rows.groupBy(F.col("family").alias("f_"), F.col("sha256").alias("s_")).agg(F.min("path").alias("first_"))
+    joined = rows.join(latest, rows["family"] == F.col("family_")).join(first, (rows["family"] == F.col("f_")) & (rows["sha256"] == F.col("s_")), "left")
+    kept = F.col("role").isin("reference", "excluded")
+    tier = F.when(kept, F.col("role")).when(F.col("file_date") < F.col("latest_"), "older_revision").when(F.col("path") != F.col("first_"), "exact_duplicate").otherwise(F.col("role"))
+    ranks = F.array(*[F.lit(t) for t in TIERS])
+    return joined.withColumn("tier", tier).select("path", "sha256", "family", "file_date", "role", "tier", F.array_position(ranks, F.col("tier")).alias("priority"))

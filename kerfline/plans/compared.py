@@ -181,3 +181,23 @@ def drawing_snapshots(spark, sf_dir):
     table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), F.concat(head, F.lit(" of "), "n_name").alias("line")).repartition("name").write.partitionBy("name").text(folder)
     rows = exports.snapshot(spark, f"{folder}/name=*/*.txt", "drawing")
     return rows.select(F.concat(F.url_decode(F.regexp_extract("path", "name=([^/]*)/", 1)), F.lit(".dwg")).alias("name"), "role", "sha256", "bytes", "version")
+
+
+_NAME = """CASE p_partkey % 6 WHEN 0 THEN '结构平面' WHEN 1 THEN '梁' WHEN 2 THEN '目录' WHEN 3 THEN 'Plan' WHEN 4 THEN '电气' ELSE '阻尼器' END"""
+_FILE = f"CASE WHEN p_partkey % 12 = 3 THEN '' ELSE 'd' || p_partkey % 3 || '/' END || {_NAME} || '_' || p_size || p_brand || CASE WHEN p_partkey % 4 <> 0 THEN '-2024010' || (1 + p_partkey % 4 + p_partkey % 3) ELSE '' END || CASE WHEN p_partkey % 7 = 0 THEN '-' || p_partkey ELSE '' END || '.dwg'"
+
+
+@query(f"""WITH f AS (SELECT DISTINCT {_FILE} AS path, upper(sha256(p_size::VARCHAR || p_brand)) AS sha256 FROM part),
+n AS (SELECT *, regexp_replace(string_split(path, '/')[-1], '\\.dwg$', '') AS name FROM f), d AS (SELECT *, nullif(regexp_extract(name, '-(2024010[0-9])(-|$)', 1), '') AS file_date FROM n),
+r AS (SELECT *, regexp_replace(lower(CASE WHEN file_date IS NOT NULL THEN replace(name, file_date, '') ELSE name END), '[ _.-]+', '', 'g') AS family, CASE WHEN contains(path, '电气') THEN 'excluded' WHEN contains(path, '目录') THEN 'reference' WHEN contains(path, '阻尼器') OR contains(path, '结构平面') THEN 'selected' WHEN contains(path, '梁') THEN 'supporting'
+ WHEN NOT contains(path, '/') AND file_date IS NOT NULL THEN 'project_package_candidate' ELSE 'uncertain' END AS role FROM d),
+t AS (SELECT *, CASE WHEN role IN ('reference', 'excluded') THEN role WHEN file_date < max(file_date) OVER (PARTITION BY family) THEN 'older_revision' WHEN path <> min(path) OVER (PARTITION BY family, sha256) THEN 'exact_duplicate' ELSE role END AS tier FROM r)
+SELECT path, sha256, family, file_date, role, tier, list_position(['selected', 'project_package_candidate', 'supporting', 'uncertain', 'reference', 'older_revision', 'exact_duplicate', 'excluded'], tier)::BIGINT AS priority FROM t""")
+def directory_tiers(spark, sf_dir):
+    """Drawings of a folder by what their names say: role, family, date, older revisions and equal files."""
+    k = F.col("p_partkey")
+    name = F.element_at(F.array(*[F.lit(n) for n in ("结构平面", "梁", "目录", "Plan", "电气", "阻尼器")]), (k % 6 + 1).cast("int"))
+    date = F.when(k % 4 != 0, F.concat(F.lit("-2024010"), 1 + k % 4 + k % 3)).otherwise("")
+    path = F.concat(F.when(k % 12 == 3, "").otherwise(F.concat(F.lit("d"), k % 3, F.lit("/"))), name, F.lit("_"), "p_size", "p_brand", date, F.when(k % 7 == 0, F.concat(F.lit("-"), k)).otherwise(""), F.lit(".dwg"))
+    files = table(spark, sf_dir, "part").select(path.alias("path"), F.upper(F.sha2(F.concat(F.col("p_size").cast("string"), "p_brand").cast("binary"), 256)).alias("sha256")).distinct()
+    return registry.directory_tiers(files, "电气")

@@ -1,6 +1,8 @@
 """Nested definitions put together from below, counted, and reached."""
 
+import cmath
 import itertools
+import math
 import random
 import sys
 from collections import Counter
@@ -131,3 +133,35 @@ def test_simple_paths(spark, seed):
     table, roots = spark.createDataFrame(edges, "parent long, child long"), spark.createDataFrame([(0,), (3,)], "node long")
     rows = lambda df: Counter((r.node, tuple(r.path), r.depth, r.stopped) for r in df.collect())
     assert rows(hierarchy.simple_paths(table, roots)) == rows(hierarchy.expand(table, roots, max_depth=40))
+
+
+def test_a_leaf_in_a_parent(spark):
+    """A parent turned back by 15 degrees and doubled holds a leaf turned by 30 and stretched by 1.5; another leaf is stretched unevenly, one turned by 90."""
+    turn = lambda degrees, sx, sy, x, y: (math.cos(math.radians(degrees)) * sx, -math.sin(math.radians(degrees)) * sy, math.sin(math.radians(degrees)) * sx, math.cos(math.radians(degrees)) * sy, float(x), float(y))
+    rows = [("Model", "A1", "PARENT", turn(-15, 2, 2, 1000, 2000)), ("PARENT", "B2", "LEAF", turn(30, 1.5, 1.5, 200, 100)), ("Model", "C3", "LEAF", turn(20, 2, 0.5, 3000, 1000)), ("Model", "D4", "LEAF", turn(90, 1, 1, 7000, 500))]
+    places = traversal.placements(inserts(spark, rows), nodes(spark, "Model"))
+    at = {"A1/B2": lambda p: complex(1000, 2000) + 2 * cmath.exp(-1j * math.pi / 12) * (complex(200, 100) + 1.5 * cmath.exp(1j * math.pi / 6) * p), "C3": lambda p: complex(3000, 1000) + cmath.exp(1j * math.pi / 9) * complex(2 * p.real, 0.5 * p.imag), "D4": lambda p: complex(7000, 500) + 1j * p}
+    texts = spark.createDataFrame([("LEAF", "T", "DBText", "LEAF_TEXT", 10.0, 140.0, 0.0, "0", None)], "owner string, handle string, entity_type string, text string, x double, y double, rotation double, layer string, bounds struct<min_x:double,min_y:double,max_x:double,max_y:double>")
+    got = {r.record_key: r for r in traversal.oriented_texts(places, texts).collect()}
+    assert set(got) == {f"{k}/T" for k in at}
+    for k, f in at.items():
+        r = got[f"{k}/T"]
+        assert abs(complex(r.x, r.y) - f(10 + 140j)) < 1e-6
+        assert abs(r.world_rotation - cmath.phase(f(1 + 0j) - f(0j))) < 1e-9
+    point = "struct<x:double,y:double>"
+    box = (20.0, 70.0, 80.0, 130.0)
+    leaf = [("LEAF", "L", "Line", (0.0, 0.0), (100.0, 0.0), None, None, None, None, None, None, (0.0, 0.0, 100.0, 0.0)), ("LEAF", "P", "Polyline", None, None, None, None, None, None, [(0.0, 20.0), (100.0, 20.0), (100.0, 60.0), (0.0, 60.0)], True, (0.0, 20.0, 100.0, 60.0)), ("LEAF", "C", "Circle", None, None, (50.0, 100.0), 20.0, None, None, None, None, (30.0, 80.0, 70.0, 120.0)), ("LEAF", "R", "Arc", None, None, (50.0, 100.0), 30.0, 0.0, math.pi / 2, None, None, box), ("PARENT", "M", "Line", (0.0, 0.0), (300.0, 0.0), None, None, None, None, None, None, None), ("LEAF", "D", "DBPoint", None, None, None, None, None, None, None, None, None)]
+    entities = spark.createDataFrame(leaf, f"owner string, handle string, entity_type string, start {point}, end {point}, center {point}, radius double, start_angle double, end_angle double, vertices array<{point}>, closed boolean, bounds struct<min_x:double,min_y:double,max_x:double,max_y:double>")
+    got = {r.record_key: r for r in traversal.primitives(places, entities).collect()}
+    assert set(got) == {f"{k}/{e}" for k in at for e in "LPCR"} | {"A1/M"} and got["A1/M"].bounds_valid is False
+    near = lambda p, z: abs(complex(p.x, p.y) - z) < 1e-6
+    for k, f in at.items():
+        line, arc, poly = got[f"{k}/L"], got[f"{k}/R"], got[f"{k}/P"]
+        assert near(line.start, f(0j)) and near(line.end, f(100 + 0j))
+        half = 30 * cmath.exp(1j * math.pi / 4)
+        assert near(arc.center, f(50 + 100j)) and near(arc.start, f(80 + 100j)) and near(arc.mid, f(50 + 100j + half)) and near(arc.end, f(50 + 130j))
+        assert abs(arc.radius - abs(f(80 + 100j) - f(50 + 100j))) < 1e-6
+        corners = [f(complex(x, y)) for x in (box[0], box[2]) for y in (box[1], box[3])]
+        want = (min(z.real for z in corners), min(z.imag for z in corners), max(z.real for z in corners), max(z.imag for z in corners))
+        assert all(abs(a - b) < 1e-6 for a, b in zip(arc.bounds, want)) and (poly.vertex_count, poly.closed, poly.endpoints_valid) == (4, True, False)
+    assert [round(got[f"{k}/R"].radius, 6) for k in at] == [90.0, 60.0, 30.0]

@@ -198,11 +198,13 @@ def _sub_blocks(media: bytes, at: int) -> tuple[bytes, int]:
     return b"".join(parts), at + 1
 
 
-def decode(media: bytes) -> Iterator[Frame]:
-    """The timed frames, with the whole picture at each after palettes, transparency and disposal."""
+def decode(media: bytes, most_pixels: int = 1 << 26) -> Iterator[Frame]:
+    """The timed frames, with the whole picture at each after palettes, transparency and disposal; a picture of more pixels than that is an error."""
     if media[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("not a GIF")
     width, height, flags, background, _ = struct.unpack_from("<HHBBB", media, 6)
+    if width * height > most_pixels:
+        raise ValueError(f"a picture of {width} by {height} is too large")
     at, own, clock = 13, None, 0
     if flags & 0x80:
         n = 3 << ((flags & 7) + 1)

@@ -11,7 +11,8 @@ probability by a logistic curve fitted on labelled rows that gave no counts.
 
 Defined cases: a text without words (or null) gets the share of toxic rows among the
 labelled; without labelled rows of both classes every score is that share (0.5 without
-any). Repeated rows and ties are scored alike; other columns are not looked at.
+any). A very long text is read whole, in memory that grows with its own words; an empty
+table gives no rows. Repeated rows and ties are scored alike; other columns are not looked at.
 """
 
 from __future__ import annotations

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from kerfline.llm import linededup, quality
+from kerfline.llm import gif, linededup, quality
 
 
 @pytest.fixture(scope="module")
@@ -66,3 +66,8 @@ def test_small_hosts(spark):
     docs = spark.createDataFrame([(f"{h}{p}", h, t) for h, p, t in rows], "doc_id string, source string, text string")
     got = {r.doc_id: r.text for r in linededup.drop_boilerplate(docs).collect()}
     assert got["one0"] == f"{menu}\nown one 0\npart" and got["two1"] == "own two 1" and got["four0"] == "own four 0\npart" and got["ten3"] == "own ten 3"
+
+
+def test_a_small_file_of_a_huge_picture():
+    with pytest.raises(ValueError, match="65535 by 65535 is too large"):
+        next(gif.decode(b"GIF89a" + b"\xff\xff\xff\xff" + b"\0" * 30))

@@ -106,7 +106,7 @@ _differs = lambda reason: f"'{_C.GEOMETRY_DIFFERS}{reason}{_C.NOT_JUDGED}'"  # n
 
 @query(f"""SELECT 'D' || p_partkey AS registry_device_id, '{_C.CANDIDATE}' AS status, 'F' || p_partkey AS beam_id, CASE WHEN p_partkey % 8 = 0 THEN '{_C.NO_RECORD}' WHEN p_partkey % 13 = 0 THEN {_differs(_C.OTHER_SUPPORT)} WHEN p_partkey % 11 = 0 THEN '{_C.NO_FACES}'
 WHEN p_partkey % 7 = 0 THEN {_differs(_C.OUT_OF_FACES)} WHEN p_partkey % 5 = 0 THEN '{_C.NO_CONSUMER}' WHEN p_partkey % 9 = 0 THEN '{_C.NO_INTERVALS}' WHEN p_partkey % 4 <> 0 THEN '{_C.INSIDE}{_C.STAYS_CANDIDATE}' ELSE {_differs(_C.OUT_OF_INTERVALS)} END AS reason,
-'KL' || p_size AS beam_number, 300.0 AS width, (p_size * 10)::DOUBLE AS height, 'formal_shared_beam_references' AS source FROM part""")
+'KL' || p_size AS beam_number, 300.0::DOUBLE AS width, (p_size * 10)::DOUBLE AS height, 'formal_shared_beam_references' AS source FROM part""")
 def formal_beams(spark, sf_dir):
     """Devices whose lower support only the ledger of formal beams tells: their projection across and along it, and its size."""
     k = F.col("p_partkey")

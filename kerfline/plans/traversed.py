@@ -69,7 +69,7 @@ def placed_definitions(spark, sf_dir):
     return rows.select("space", "path", "names", "node", "issue", *[(F.round(F.col("m")[k], 6) + F.lit(0.0)).alias(k) for k in ("a", "b", "tx", "ty")])
 
 
-@query(_WALK + _THINGS + f""", t AS (SELECT *, 0.3 + 0.7 * (key % 9) AS turn FROM placed WHERE key % 13 <> 0), v AS (SELECT *, a * cos(turn) + b * sin(turn) AS vx, c * cos(turn) + d * sin(turn) AS vy FROM t)
+@query(_WALK + _THINGS + f""", t AS (SELECT *, (0.3::DOUBLE + 0.7::DOUBLE * (key % 9)) AS turn FROM placed WHERE key % 13 <> 0), v AS (SELECT *, a * cos(turn) + b * sin(turn) AS vx, c * cos(turn) + d * sin(turn) AS vy FROM t)
 SELECT record_key, CASE WHEN key % 2 = 0 THEN 'DBText' ELSE 'MText' END AS entity_type, origin, words AS text, space, block_path, handle, round(a * x + b * y + tx, 6) AS x, round(c * x + d * y + ty, 6) AS y, round(turn, 6) AS local_rotation, round(atan2(vy, vx), 6) AS world_rotation, round(vx / sqrt(vx * vx + vy * vy), 6) AS axis_x, round(vy / sqrt(vx * vx + vy * vy), 6) AS axis_y, {_BOX} FROM v""")
 def oriented_texts(spark, sf_dir):
     """Texts of all places with position, direction and bounds in the world; blank ones are left out."""

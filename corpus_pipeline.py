@@ -2,6 +2,14 @@
 
 Each stage reads what its predecessor kept and returns the columns of documents, but for
 the last, which returns the packed pieces.
+
+Defined cases, in all stages: null and empty texts go in the first stage, as nothing tells
+their language, and a later stage given them keeps them (packing: as the closing id alone);
+a very long text is read whole; rows that share an id are one document to near duplicates,
+where that whose text sorts first stays, and rows of their own elsewhere; rows without an
+id stay; a null source is a source; of documents alike that with the smallest id stays;
+columns beside those of documents pass through but for packing; an empty table gives no
+rows.
 """
 
 from __future__ import annotations

@@ -229,12 +229,15 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "quality", doc_id:
     from .toxicity import _logistic
 
     rows = labelled.where(labelled[label].isNotNull()).select(labelled[doc_id].alias("doc_id"), labelled[text].alias("text"), labelled[label].cast("long").alias("y"))
+    # how many rows there are is told without their texts; lines are counted in the rows of the sample only
+    total = rows.count()
+    if total > max_rows:
+        rows = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) < int(1_000_000 * max_rows / total) + 1)
     n_lines = F.length(F.coalesce("text", F.lit(""))) - F.length(F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(""))) + 1
     rows = rows.where(n_lines <= max_lines // 50)
-    total, of_lines = rows.agg(F.count("*"), F.coalesce(F.sum(n_lines), F.lit(0))).first()
-    if total > max_rows or of_lines > max_lines:
-        share = min(max_rows / total, max_lines / of_lines)
-        rows = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) < int(1_000_000 * share) + 1)
+    of_lines = rows.agg(F.coalesce(F.sum(n_lines), F.lit(0))).first()[0]
+    if of_lines > max_lines:
+        rows = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000)) < int(1_000_000 * max_lines / of_lines) + 1)
 
     def featured(batches):
         for batch in blocks.sliced(batches, "text"):

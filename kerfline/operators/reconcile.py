@@ -11,9 +11,9 @@ from ..functions import scalar
 from ..functions.scalar import quantize_text
 from . import diff
 
+# fixed values: what is compared of each kind of record, with what several kinds share first; frames list three columns that no document has, null on both sides
 _PLACE = ["x", "y", "z"]
 _PARENTS = ["instance_handle", "definition_handle", "parent_instance_key", "parent_instance_handle", "root_instance_handle"]
-# fixed values: what is compared of each kind of record; frames list three columns that no document has, null on both sides
 FIELDS = {
     "text": ["entity_type", "origin", "text", *_PLACE, "layer", "space", "handle", "block_path"],
     "frame_lines": ["entity_type", "origin", "space", "layer", "handle", "block_path", "start_x", "start_y", "end_x", "end_y"],

@@ -105,6 +105,55 @@ def in_intervals(rows: DataFrame, intervals: DataFrame, low: str, high: str, fro
     return met.where((F.col(low) >= F.col("lo_")) & (F.col(high) <= F.col("hi_"))).drop("level_", "dyad_", "lo_", "hi_")
 
 
+def _running(rows: DataFrame, at: str, late: str, sums: list[str]) -> DataFrame:
+    """rows with sums replaced by their totals over all rows up to and with themselves, in the order of (at, late).
+
+    Rows are dealt to ranges of the order; past a range only its totals are carried, one row
+    a range.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.repartitionByRange(n, at, late).sortWithinPartitions(at, late)
+    placed = cut(placed.withColumns({"range_": F.spark_partition_id(), "place_": F.monotonically_increasing_id()}))
+    before = Window.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)
+    carried = placed.groupBy("range_").agg(*[F.sum(c).alias(c) for c in sums]).select("range_", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in sums])
+    here = Window.partitionBy("range_").orderBy("place_").rowsBetween(Window.unboundedPreceding, 0)
+    told = placed.withColumns({c: F.sum(c).over(here) for c in sums}).join(F.broadcast(carried), "range_")
+    return told.select(*[(F.col(c) + F.col(f"{c}_before")).alias(c) if c in sums else F.col(c) for c in rows.columns])
+
+
+def interval_totals(rows: DataFrame, intervals: DataFrame, low: str, high: str, from_: str, to: str, value: str, tolerance: float = 0.0) -> DataFrame:
+    """intervals with n and total, the number of rows that in_intervals() joins to each and the sum of their values (whole numbers), without joining them; those with none are left out.
+
+    What lies in an interval are the rows that end by its end, without those that begin
+    before it, but for those that do both, begin before it and end after it. The first two
+    are running totals along one order of ends and intervals each. The third are only rows
+    longer than the shortest interval, joined to the intervals inside of them; equal rows
+    and equal intervals count as one in all of this.
+    """
+    ends = intervals.withColumns({"lo_": F.least(from_, to) - tolerance, "hi_": F.greatest(from_, to) + tolerance})
+    known = rows.where(F.col(low).isNotNull() & F.col(high).isNotNull())
+    v = F.col(value).cast("long")
+    some = lambda df, *by: df.groupBy(*by).agg(F.count("*").alias("n"), F.count(value).alias("some"), F.coalesce(F.sum(v), F.lit(0)).alias("total"))
+    sums = ["n", "some", "total"]
+    spans = cut(some(known, F.col(low).alias("low_"), F.col(high).alias("high_")))
+    asked = cut(ends.select("lo_", "hi_").where("lo_ IS NOT NULL AND hi_ IS NOT NULL").distinct().withColumn("asked_", F.monotonically_increasing_id()))
+
+    def told(of: str, at: str, late: int, sign: int) -> DataFrame:
+        """(asked_, sums) for each interval: the totals of spans whose `of` is before `at`, or also at it where `late` is 2."""
+        none = [F.lit(0).cast("long").alias(c) for c in sums]
+        alike = spans.groupBy(F.col(of).alias("at_")).agg(*[F.sum(c).alias(c) for c in sums])
+        places = alike.select("at_", F.lit(1).alias("late_"), F.lit(None).cast("long").alias("asked_"), *sums)
+        both = places.union(asked.select(at, F.lit(late), "asked_", *none))
+        return _running(both, "at_", "late_", sums).where(F.col("late_") == late).select("asked_", *[(F.col(c) * sign).alias(c) for c in sums])
+
+    least = asked.agg(F.min(F.col("hi_") - F.col("lo_")).alias("least_"))
+    long_ = spans.join(F.broadcast(least), F.col("high_") - F.col("low_") >= F.col("least_")).drop("least_")
+    around = in_intervals(asked.select("asked_", F.col("lo_").alias("l_"), F.col("hi_").alias("h_")), long_, "l_", "h_", "low_", "high_").where("low_ < l_ AND high_ > h_")
+    parts = told("high_", "hi_", 2, 1).union(told("low_", "lo_", 0, -1)).union(around.select("asked_", *sums))
+    found = parts.groupBy("asked_").agg(*[F.sum(c).alias(c) for c in sums]).where("n > 0").join(asked, "asked_").select("lo_", "hi_", "n", F.when(F.col("some") > 0, F.col("total")).alias("total"))
+    return ends.join(found, ["lo_", "hi_"]).drop("lo_", "hi_")
+
+
 def bracketed(rows: DataFrame, within: str, order: list[str], item: Column, before: str, after: str, inclusive: bool = False) -> DataFrame:
     """rows with the last item at or before and the first after them in the order of their group; item is null where a row has none.
 

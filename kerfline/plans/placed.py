@@ -38,7 +38,7 @@ def intervals_as_rows(spark, sf_dir):
     even = F.col("p_partkey") % 2 == 0
     intervals = table(spark, sf_dir, "part").select("p_partkey", (at + F.when(even, size).otherwise(0)).alias("a"), (at + F.when(even, 0).otherwise(size)).alias("b"))
     spans = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_extendedprice").alias("low"), (F.col("l_extendedprice") + F.col("l_tax")).alias("high"))
-    return spatial.in_intervals(spans, intervals, "low", "high", "a", "b", 1.0).groupBy("p_partkey").agg(F.count("*").alias("n"), F.sum("l_orderkey").alias("orders"))
+    return spatial.interval_totals(spans, intervals, "low", "high", "a", "b", "l_orderkey", 1.0).select("p_partkey", "n", F.col("total").alias("orders"))
 
 
 @query("""WITH a AS (SELECT s_nationkey AS g, s_suppkey::VARCHAR AS name, s_acctbal AS pos FROM supplier WHERE s_suppkey % 3 <> 0),

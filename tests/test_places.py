@@ -168,3 +168,22 @@ def test_ranks(spark):
         inner |= {r[0]: i for i, r in enumerate(sorted((r for r in rows if r[1] == g), key=lambda r: int(r[2], 16)), 1)}
     assert {r.k: r.rank for r in ordering.ranked(df, ["n", "t"], within=["g"]).collect()} == inner
     assert ordering.ranked(df.limit(0), ["n"]).count() == 0
+
+
+def test_interval_totals(spark):
+    """As joined and counted: spans longer and shorter than intervals, turned ends, nulls, equal rows, negative spans; and no join of pairs."""
+    rng = random.Random(3)
+    spans = [(k % 5 and k - 200, lo, lo + rng.choice((-1.0, 0.0, 0.5, 2.0, 30.0))) for k in range(400) for lo in (float(rng.randint(0, 40)),)]
+    spans += [(None, 5.0, 6.0), (7, None, 3.0), (8, 3.0, None), (None, 990.0, 991.0), (9, 0.0, 1000.0)]
+    cuts = [(k, float(rng.randint(0, 40)), float(rng.randint(0, 40))) for k in range(120)] + [(500, 989.0, 992.0), (501, None, None), (502, 2000.0, 2001.0)]
+    rows, intervals = spark.createDataFrame(spans, "v long, low double, high double"), spark.createDataFrame(cuts, "k long, a double, b double")
+    want = set()
+    for k, a, b in cuts:
+        inside = [v for v, lo, hi in spans if None not in (a, b, lo, hi) and lo >= min(a, b) - 0.5 and hi <= max(a, b) + 0.5]
+        if inside:
+            want.add((k, len(inside), sum(v for v in inside if v is not None) if any(v is not None for v in inside) else None))
+    got = spatial.interval_totals(rows, intervals, "low", "high", "a", "b", "v", 0.5)
+    assert {tuple(r) for r in got.select("k", "n", "total").collect()} == want and len(want) > 60
+    wide = spark.range(30000).selectExpr("id AS v", "CAST(id % 3000 AS DOUBLE) AS low", "id % 3000 + 0.5D AS high")
+    n = spatial.interval_totals(wide, spark.range(30000).selectExpr("id AS k", "CAST(0 AS DOUBLE) AS a", "CAST(3000 + id % 7 AS DOUBLE) AS b"), "low", "high", "a", "b", "v").selectExpr("count(*)", "min(n)", "min(total)").first()
+    assert tuple(n) == (30000, 30000, 30000 * 29999 // 2)

@@ -38,3 +38,8 @@ def test_query(spark, duck, name):
     want = duck.sql(catalogue.SQL[name])
     assert sorted(want.columns) == columns
     assert norm(rows) == norm(want.select(*[f'"{c}"' for c in columns]).fetchall())
+
+
+def test_texts_are_joined_once_a_definition(spark):
+    plan = catalogue.QUERIES["dynamic_inserts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_join" in plan and plan.index("array_join") > plan.rindex("Join LeftOuter")

@@ -85,9 +85,19 @@ def in_turned_windows(points: DataFrame, windows: DataFrame, x: str, y: str, lay
     return met.where(shown).drop("level_", "square_x", "square_y")
 
 
-def seen_once(shown: DataFrame, key: str, name: str = "name") -> DataFrame:
-    """(key, windows, first_window): each point once, with the number of windows that show it."""
-    return shown.groupBy(key).agg(F.count_distinct(name).alias("windows"), F.min(name).alias("first_window"))
+def once(rows: DataFrame, column: str, flag: str) -> DataFrame:
+    """rows, dealt by the column, with the flag that its value is on no other row."""
+    return rows.withColumn(flag, F.col(column).isNotNull() & (F.count("*").over(Window.partitionBy(column)) == 1))
+
+
+def seen_once(shown: DataFrame, key: str, name: str = "name", sure: Column | None = None) -> DataFrame:
+    """(key, windows, first_window): each point once, with the number of windows that show it.
+
+    sure tells of rows whose (key, name) is on no other row; of these none is held, they are only counted.
+    """
+    sure = F.lit(False) if sure is None else sure
+    windows = F.count_if(sure) + F.count_distinct(F.when(~sure, F.col(name)))
+    return shown.groupBy(key).agg(windows.alias("windows"), F.min(name).alias("first_window"))
 
 
 def in_intervals(rows: DataFrame, intervals: DataFrame, low: str, high: str, from_: str, to: str, tolerance: float = 0.0, on: tuple[str, ...] = ()) -> DataFrame:

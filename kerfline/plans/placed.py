@@ -26,7 +26,9 @@ def turned_viewports(spark, sf_dir):
     zero, one = F.lit(0.0), F.lit(1.0)
     views = table(spark, sf_dir, "supplier").select(key.alias("handle"), (key % 11 == 1).alias("is_paper_viewport"), (key % 7 != 0).alias("on"), F.lit(True).alias("entity_visible"), (key % 13 == 0).alias("layer_off"), (1.0 + key % 3).alias("paper_width"), F.lit(2.0).alias("paper_height"), one.alias("view_center_x"), zero.alias("view_center_y"), x.alias("view_target_x"), y.alias("view_target_y"), size.alias("view_height"), (0.1 * (key % 9)).alias("twist_angle"), zero.alias("view_direction_x"), zero.alias("view_direction_y"), one.alias("view_direction_z"), F.array(F.col("s_nationkey").cast("string")).alias("frozen_layers"), clip.alias("clip"))
     points = table(spark, sf_dir, "customer").selectExpr("c_custkey", "c_acctbal AS x", "CAST(c_custkey % 1000 AS DOUBLE) AS y", "CAST(c_nationkey AS STRING) AS layer")
-    return spatial.seen_once(spatial.in_turned_windows(points, spatial.windows_of_viewports(views), "x", "y", "layer"), "c_custkey")
+    windows = spatial.once(spatial.windows_of_viewports(views), "name", "one_window")
+    shown = spatial.in_turned_windows(spatial.once(points, "c_custkey", "one_point"), windows, "x", "y", "layer")
+    return spatial.seen_once(shown, "c_custkey", sure=F.col("one_window") & F.col("one_point"))
 
 
 @query("""WITH i AS (SELECT p_partkey, p_retailprice * 20 + CASE WHEN p_partkey % 2 = 0 THEN p_size * pow(2, p_partkey % 5) / 8 ELSE 0 END AS a, p_retailprice * 20 + CASE WHEN p_partkey % 2 = 0 THEN 0 ELSE p_size * pow(2, p_partkey % 5) / 8 END AS b FROM part),

@@ -187,3 +187,21 @@ def test_interval_totals(spark):
     wide = spark.range(30000).selectExpr("id AS v", "CAST(id % 3000 AS DOUBLE) AS low", "id % 3000 + 0.5D AS high")
     n = spatial.interval_totals(wide, spark.range(30000).selectExpr("id AS k", "CAST(0 AS DOUBLE) AS a", "CAST(3000 + id % 7 AS DOUBLE) AS b"), "low", "high", "a", "b", "v").selectExpr("count(*)", "min(n)", "min(total)").first()
     assert tuple(n) == (30000, 30000, 30000 * 29999 // 2)
+
+
+def test_pairs_of_one_kind_are_not_held(spark):
+    """Windows are counted by name: repeated names and keys once, null names never; and pairs that are sure are not grouped by name."""
+    points = [(k % 50 if k < 60 else k, k % 7) for k in range(100)]
+    windows = [("a", 3), ("a", 3), ("a", 4), ("b", 3), ("c", 5), (None, 5)]
+    rows = spatial.once(spark.createDataFrame(points, "k long, at long"), "k", "one_k").join(spatial.once(spark.createDataFrame(windows, "name string, at long"), "name", "one_w"), "at")
+    got = {tuple(r) for r in spatial.seen_once(rows, "k", sure=F.col("one_k") & F.col("one_w")).collect()}
+    assert got == {tuple(r) for r in spatial.seen_once(rows, "k").collect()}
+    want = {}
+    for k, at in points:
+        for name, there in windows:
+            if at == there:
+                want.setdefault(k, set()).add(name)
+    assert got == {(k, len(v - {None}), min(v - {None}, default=None)) for k, v in want.items()}
+    pairs = spark.range(200).selectExpr("id AS k").crossJoin(spark.range(500).selectExpr("id AS name"))
+    counted = spatial.seen_once(pairs, "k", sure=F.lit(True) & (F.col("k") >= 0))
+    assert {r.windows for r in counted.collect()} == {500}

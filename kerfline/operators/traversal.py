@@ -103,10 +103,26 @@ def placements(inserts: DataFrame, roots: DataFrame, external: DataFrame | None
     return reduce(DataFrame.union, out).select("space", "path", "names", F.struct(*_M).alias("m"), "node", "issue")
 
 
+def _dealt(places: DataFrame, entities: DataFrame, most: int = 50_000) -> DataFrame:
+    """places joined to entities at node == owner; a node with more than `most` places or entities is dealt to several tasks.
+
+    Its entities are dealt to so many parts, and each of its places goes to all of these, and
+    the other way round, so that each pair still meets once.
+    """
+    n_places, n_entities = places.groupBy(F.col("node").alias("at_")).agg(F.count("*").alias("places_")), entities.groupBy(F.col("owner").alias("at_")).agg(F.count("*").alias("entities_"))
+    of = lambda n: F.ceil(F.col(n) / most).cast("int")
+    parts = cut(n_places.join(n_entities, "at_").select("at_", of("places_").alias("p_"), of("entities_").alias("e_")))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda df, n: F.pmod(F.xxhash64(*df.columns), F.col(n)).cast("int")
+    p = places.join(parts, F.col("node") == F.col("at_")).withColumn("part_p", own(places, "p_")).withColumn("part_e", every("e_")).drop("at_", "p_", "e_")
+    e = entities.join(parts, F.col("owner") == F.col("at_")).withColumn("of_e", own(entities, "e_")).withColumn("of_p", every("p_")).drop("at_", "p_", "e_")
+    return p.join(e, (F.col("node") == F.col("owner")) & (F.col("part_p") == F.col("of_p")) & (F.col("part_e") == F.col("of_e"))).drop("part_p", "part_e", "of_p", "of_e")
+
+
 def placed_entities(places: DataFrame, entities: DataFrame) -> DataFrame:
     """The entities (owner, handle, ..) of each place, with record_key, origin, space, block_path, root_handle and its map m."""
     direct = F.col("path") == ""
-    rows = places.where("node IS NOT NULL").join(entities, F.col("node") == F.col("owner"))
+    rows = _dealt(places.where("node IS NOT NULL"), entities)
     keyed = {"record_key": F.concat(F.when(direct, "direct").otherwise(F.col("path")), F.lit("/"), F.col("handle")), "origin": F.when(direct, "direct").otherwise("block-definition"), "root_handle": F.when(~direct, F.substring_index("path", "/", 1))}
     return rows.withColumns(keyed).withColumnRenamed("names", "block_path").drop("node", "owner", "path", "issue")
 

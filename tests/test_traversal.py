@@ -165,3 +165,13 @@ def test_a_leaf_in_a_parent(spark):
         want = (min(z.real for z in corners), min(z.imag for z in corners), max(z.real for z in corners), max(z.imag for z in corners))
         assert all(abs(a - b) < 1e-6 for a, b in zip(arc.bounds, want)) and (poly.vertex_count, poly.closed, poly.endpoints_valid) == (4, True, False)
     assert [round(got[f"{k}/R"].radius, 6) for k in at] == [90.0, 60.0, 30.0]
+
+
+def test_hot_nodes_are_dealt(spark):
+    """A node of many entities, one of many places and one of both are several parts, and every pair still meets once."""
+    places = spark.createDataFrame([("a", "")] + [("b", f"p{k}") for k in range(95)] + [("c", f"q{k}") for k in range(25)] + [("d", "")] * 2, "node string, path string")
+    entities = spark.createDataFrame([("a", f"x{k}") for k in range(90)] + [("b", "y")] * 2 + [("c", f"z{k}") for k in range(31)] + [("e", "w")], "owner string, handle string")
+    got = traversal._dealt(places, entities, most=10)
+    plain = places.join(entities, places["node"] == entities["owner"])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect())) and got.columns == plain.columns
+    assert "part_e" in got._jdf.queryExecution().optimizedPlan().toString()

@@ -111,7 +111,7 @@ def hatch_evidence(loops: Column, most_loops: int = 512, most_points: int = 2000
     A loop without points, empty or null, counts as a loop.
     """
     n_of = lambda l: F.coalesce(F.size(l["points"]), F.lit(0))
-    numbered = F.transform(F.slice(loops, 1, most_loops), lambda l, i: F.struct(i.alias("loop_index"), l["is_polyline"].alias("is_polyline"), l["points"].alias("points"), n_of(l).alias("n")))
+    numbered = lambda first: F.transform(F.slice(loops, 1, first), lambda l, i: F.struct(i.alias("loop_index"), l["is_polyline"].alias("is_polyline"), l["points"].alias("points"), n_of(l).alias("n")))
 
     def one(l: Column, room: Column) -> Column:
         points, over = l["points"], l["n"] - room
@@ -129,8 +129,8 @@ def hatch_evidence(loops: Column, most_loops: int = 512, most_points: int = 2000
         n_points = F.aggregate(kept, F.lit(0), lambda n, l: n + n_of(l))
         return F.struct(kept.alias("loops"), n_loops.alias("n_loops"), n_points.alias("n_points"), ((n_loops > F.size(kept)) | F.exists(kept, lambda l: l["cut"])).alias("truncated"))
 
-    none = F.filter(F.transform(numbered, lambda l: one(l, F.lit(most_points))), lambda l: F.lit(False))
-    return F.aggregate(numbered, F.struct(F.lit(most_points).alias("room"), none.alias("kept")), add, told)
+    none = F.transform(numbered(0), lambda l: one(l, F.lit(most_points)))
+    return F.aggregate(numbered(most_loops), F.struct(F.lit(most_points).alias("room"), none.alias("kept")), add, told)
 
 
 def frame_candidates(df: DataFrame) -> DataFrame:

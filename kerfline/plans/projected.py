@@ -50,7 +50,9 @@ def hatch_caps(spark, sf_dir):
     """At most 20 loops and 60 points of a hatch are kept, as the caller asks, and the record says so."""
     vertex = F.transform(F.slice(F.sequence(F.lit(1), F.lit(7)), F.lit(1), (F.col("p_partkey") % 7).cast("int")), lambda i: F.struct(F.concat(F.lit("vertex_"), (i - 1).cast("string")).alias("role"), i.alias("x")))
     loops = F.transform(F.sequence(F.lit(1), F.col("p_size").cast("int")), lambda i: F.struct(F.lit(True).alias("is_polyline"), F.col("v").alias("points")))
-    rows = table(spark, sf_dir, "part").withColumn("v", vertex).select("p_partkey", projections.hatch_evidence(loops, 20, 60).alias("h"))
+    # few bytes make much work here, so that rows are dealt to all tasks and not left to the file's few splits
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_size").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+    rows = part.withColumn("v", vertex).select("p_partkey", projections.hatch_evidence(loops, 20, 60).alias("h"))
     return rows.select("p_partkey", "h.n_loops", F.size("h.loops").alias("kept_loops"), "h.n_points", "h.truncated")
 
 

@@ -43,3 +43,9 @@ def test_query(spark, duck, name):
 def test_texts_are_joined_once_a_definition(spark):
     plan = catalogue.QUERIES["dynamic_inserts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "array_join" in plan and plan.index("array_join") > plan.rindex("Join LeftOuter")
+
+
+def test_hatches_are_dealt_to_all_tasks(spark):
+    """One small file is one split, but not one task."""
+    plan = catalogue.QUERIES["hatch_caps"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan

@@ -102,11 +102,12 @@ def document_round_trip(spark, sf_dir):
     folder = lineage.new_path(spark)
     documents.write_documents(header, arrays, folder, "cad_visibility_export_v13")
     path = f"{folder}/*.cad_visibility_export_v13.json"
-    heads = documents.read_header(spark, path, "drawing string, path string, number long, record_count long")
+    scanned = documents.scan(spark, path)
+    heads = documents.read_header(spark, path, "drawing string, path string, number long, record_count long", scanned)
     out = heads.select(F.lit("header").alias("list"), "drawing", F.col("number").alias("ordinal"), F.col("path").alias("key"), F.col("record_count").cast("double").alias("amount"))
     fields = {"records": ("c_custkey string, amount double", "c_custkey", "amount"), "layers": ("name string", "name", "CAST(NULL AS DOUBLE)"), "layouts": ("layout_name string, tab_order int", "layout_name", "CAST(tab_order AS DOUBLE)"), "viewports": ("layout_name string, layout_tab_order int", "layout_name", "CAST(layout_tab_order AS DOUBLE)")}
     of_file = heads.select("file", "drawing")
     for name, (schema, key, value) in fields.items():
-        rows = documents.read_array(spark, path, name, schema).join(of_file, "file")
+        rows = documents.read_array(spark, path, name, schema, scanned).join(of_file, "file")
         out = out.union(rows.selectExpr(f"'{name}' AS list", "drawing", "ordinal", f"{key} AS key", f"{value} AS amount"))
     return out

@@ -65,14 +65,20 @@ def _sections(spark: SparkSession, path: str, lines: DataFrame) -> DataFrame:
     return files.select("file", F.when(whole, inner).otherwise(_failed(F.col("file"), "not one whole object with a line for each record").cast("array<struct<name:string,kind:string,first:struct<block:bigint,at:bigint>,last:struct<block:bigint,at:bigint>>>")).alias("sections"))
 
 
-def read_array(spark: SparkSession, path: str, array: str, schema: T.StructType | str) -> DataFrame:
+def scan(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The lines of all files and their sections, kept, for several reads of the same files."""
+    lines = cut(_lines(spark, path))
+    return lines, cut(_sections(spark, path, lines))
+
+
+def read_array(spark: SparkSession, path: str, array: str, schema: T.StructType | str, scanned: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """(file, ordinal, the wanted fields) of the records of one array, numbered from 0 in each file; null entries are left out.
 
     Large arrays are read by many tasks. A file that is cut short, has another root than an
-    object or holds anything that is no line of an export stops the read.
+    object or holds anything that is no line of an export stops the read. Who reads several
+    arrays gives what scan() found, so that the files are scanned once.
     """
-    lines = _lines(spark, path)
-    sections = cut(_sections(spark, path, lines))
+    lines, sections = scanned or scan(spark, path)
     rows = lines.where("kind = 'record'").join(sections, "file")
     at = F.struct("block", "at")
     inside = F.exists("sections", lambda s: (s["name"] == array) & (s["first"] < at) & (at < s["last"]))
@@ -81,10 +87,10 @@ def read_array(spark: SparkSession, path: str, array: str, schema: T.StructType
     return numbered.select("file", (F.col("ordinal") - 1).alias("ordinal"), F.from_json("body", schema, _OPTIONS).alias("r")).select("file", "ordinal", "r.*")
 
 
-def read_header(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def read_header(spark: SparkSession, path: str, schema: T.StructType | str, scanned: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """(file, the wanted fields) outside of the arrays; a field that a document lacks is null."""
-    lines = _lines(spark, path)
-    sections = cut(_sections(spark, path, lines)).select("file")
+    lines, sections = scanned or scan(spark, path)
+    sections = sections.select("file")
     fields = lines.where("kind = 'field'").groupBy("file").agg(F.concat(F.lit("{"), F.array_join(F.collect_list("body"), ","), F.lit("}")).alias("body"))
     found = sections.join(fields, "file", "left")
     return found.select("file", F.from_json(F.coalesce("body", F.lit("{}")), schema, _OPTIONS).alias("h")).select("file", "h.*")

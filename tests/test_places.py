@@ -205,3 +205,14 @@ def test_pairs_of_one_kind_are_not_held(spark):
     pairs = spark.range(200).selectExpr("id AS k").crossJoin(spark.range(500).selectExpr("id AS name"))
     counted = spatial.seen_once(pairs, "k", sure=F.lit(True) & (F.col("k") >= 0))
     assert {r.windows for r in counted.collect()} == {500}
+
+
+def test_files_are_scanned_once(spark, tmp_path, monkeypatch):
+    """Header and arrays come from what was scanned, as from reads of their own."""
+    for name in "ab":
+        (tmp_path / f"{name}.json").write_text('{\n  "drawing": "%s",\n  "p": [\n    {"k": 1},\n    {"k": 2}\n  ],\n  "q": [\n    {"k": 7}\n  ]\n}\n' % name)
+    path = f"{tmp_path}/*.json"
+    told = lambda *scanned: [sorted(map(tuple, df.drop("file").collect())) for df in (documents.read_header(spark, path, "drawing string", *scanned), *[documents.read_array(spark, path, a, "k int", *scanned) for a in "pq"])]
+    plain, scanned = told(), documents.scan(spark, path)
+    monkeypatch.setattr(documents, "_lines", None)
+    assert told(scanned) == plain == [[("a",), ("b",)], [(0, 1), (0, 1), (1, 2), (1, 2)], [(0, 7), (0, 7)]]

@@ -111,11 +111,12 @@ def _dealt(places: DataFrame, entities: DataFrame, most: int = 50_000) -> DataFr
     """
     n_places, n_entities = places.groupBy(F.col("node").alias("at_")).agg(F.count("*").alias("places_")), entities.groupBy(F.col("owner").alias("at_")).agg(F.count("*").alias("entities_"))
     of = lambda n: F.ceil(F.col(n) / most).cast("int")
-    parts = cut(n_places.join(n_entities, "at_").select("at_", of("places_").alias("p_"), of("entities_").alias("e_")))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    own = lambda df, n: F.pmod(F.xxhash64(*df.columns), F.col(n)).cast("int")
-    p = places.join(parts, F.col("node") == F.col("at_")).withColumn("part_p", own(places, "p_")).withColumn("part_e", every("e_")).drop("at_", "p_", "e_")
-    e = entities.join(parts, F.col("owner") == F.col("at_")).withColumn("of_e", own(entities, "e_")).withColumn("of_p", every("p_")).drop("at_", "p_", "e_")
+    # a node in so many rows only: few enough to be sent to all tasks, so that no side is brought together by node alone
+    hot = F.broadcast(cut(n_places.join(n_entities, "at_").select("at_", of("places_").alias("p_"), of("entities_").alias("e_")).where("p_ > 1 OR e_ > 1")))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.coalesce(n, F.lit(1)) - 1))
+    own = lambda df, n: F.when(F.col(n) > 1, F.pmod(F.xxhash64(*df.columns), F.col(n))).otherwise(0).cast("int")
+    p = places.join(hot, F.col("node") == F.col("at_"), "left").withColumn("part_p", own(places, "p_")).withColumn("part_e", every("e_")).drop("at_", "p_", "e_")
+    e = entities.join(hot, F.col("owner") == F.col("at_"), "left").withColumn("of_e", own(entities, "e_")).withColumn("of_p", every("p_")).drop("at_", "p_", "e_")
     return p.join(e, (F.col("node") == F.col("owner")) & (F.col("part_p") == F.col("of_p")) & (F.col("part_e") == F.col("of_e"))).drop("part_p", "part_e", "of_p", "of_e")
 
 
@@ -127,11 +128,26 @@ def placed_entities(places: DataFrame, entities: DataFrame) -> DataFrame:
     return rows.withColumns(keyed).withColumnRenamed("names", "block_path").drop("node", "owner", "path", "issue")
 
 
-def _bounds(m: Column, box: Column) -> Column:
-    """The box of the four corners under the map; null where the box is not known."""
-    turned = geometry.moved(geometry.corners(box["min_x"], box["min_y"], box["max_x"], box["max_y"]), m)
-    known = box["min_x"].isNotNull() & box["min_y"].isNotNull() & box["max_x"].isNotNull() & box["max_y"].isNotNull()
-    return F.when(known, geometry.envelope(turned))
+_BOX = ("min_x", "min_y", "max_x", "max_y")
+
+
+def _boxed(entities: DataFrame) -> DataFrame:
+    """The entities with null for bounds of which a side is not known."""
+    return entities.withColumn("bounds", F.when(reduce(Column.__and__, [F.col("bounds")[k].isNotNull() for k in _BOX]), F.col("bounds")))
+
+
+def _bounded(rows: DataFrame) -> DataFrame:
+    """bounds as the box of its four corners under m, null where it is null.
+
+    Corners are columns, so that each is worked out once, and no arrays, whose functions are
+    not compiled.
+    """
+    m, box = F.col("m"), F.col("bounds")
+    corners = [geometry.point(m, box[x], box[y]) for x in ("min_x", "max_x") for y in ("min_y", "max_y")]
+    at = {axis: [f"{axis}{k}_" for k in range(4)] for axis in "xy"}
+    rows = rows.withColumns({at[axis][k]: v for k, corner in enumerate(corners) for axis, v in zip("xy", corner)})
+    sides = [(F.least if k.startswith("min") else F.greatest)(*at[k[-1]]).alias(k) for k in _BOX]
+    return rows.withColumn("bounds", F.when(box.isNotNull(), F.struct(*sides))).drop(*at["x"], *at["y"])
 
 
 def oriented_texts(places: DataFrame, texts: DataFrame) -> DataFrame:
@@ -141,14 +157,14 @@ def oriented_texts(places: DataFrame, texts: DataFrame) -> DataFrame:
     min_y, max_x, max_y). Blank texts are left out. A direction that the map shrinks to
     under 1e-12 stays as short as it is.
     """
-    rows = placed_entities(places, texts.where(F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), "\\s", " ")) != ""))
+    rows = _bounded(placed_entities(places, _boxed(texts.where(F.col("text").rlike("\\S")))))
     m, cos, sin = F.col("m"), F.cos("rotation"), F.sin("rotation")
     x, y = geometry.point(m, F.col("x"), F.col("y"))
     rows = rows.withColumns({"x": x, "y": y, "axis_x": m["a"] * cos + m["b"] * sin, "axis_y": m["c"] * cos + m["d"] * sin})
     length = F.sqrt(F.col("axis_x") * F.col("axis_x") + F.col("axis_y") * F.col("axis_y"))
     rows = rows.withColumn("length_", F.when(length > 1e-12, length).otherwise(1.0))
     rows = rows.withColumns({"axis_x": F.col("axis_x") / F.col("length_"), "axis_y": F.col("axis_y") / F.col("length_")}).withColumn("world_rotation", F.atan2("axis_y", "axis_x"))
-    return rows.withColumn("bounds", _bounds(m, F.col("bounds"))).withColumnRenamed("rotation", "local_rotation").withColumn("bounds_valid", F.col("bounds").isNotNull()).drop("m", "length_")
+    return rows.withColumnRenamed("rotation", "local_rotation").withColumn("bounds_valid", F.col("bounds").isNotNull()).drop("m", "length_")
 
 
 # fixed values: the classes that are primitives
@@ -163,17 +179,21 @@ def primitives(places: DataFrame, entities: DataFrame) -> DataFrame:
     polylines, and bounds. Arcs have start, mid, end, centre and the radius from the centre
     to the start as they lie in the world, lines their ends; others only bounds.
     """
-    rows = placed_entities(places, entities.where(F.col("entity_type").isin(*PRIMITIVES)))
-    m, is_arc, is_line = F.col("m"), F.col("entity_type") == "Arc", F.col("entity_type") == "Line"
-    ends = {k: F.struct(*[v.alias(n) for n, v in zip("xy", geometry.point(m, F.col(f"{k}.x"), F.col(f"{k}.y")))]) for k in ("start", "end")}
-    rows = rows.withColumns({"arc_": F.when(is_arc, geometry.arc(F.col("center.x"), F.col("center.y"), F.col("radius"), F.col("start_angle"), F.col("end_angle"), m)), **ends, "bounds": _bounds(m, F.col("bounds"))})
-    of_arc = lambda k: F.when(is_arc, F.struct(F.col(f"arc_.{k}_x").alias("x"), F.col(f"arc_.{k}_y").alias("y")))
+    is_arc, is_line = F.col("entity_type") == "Arc", F.col("entity_type") == "Line"
+    at = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    arc = {k: F.when(is_arc, at(*v)) for k, v in geometry.on_arc(F.col("center.x"), F.col("center.y"), F.col("radius"), F.col("start_angle"), F.col("end_angle")).items()}
+    # points of an arc in its definition are worked out before it is placed, once for all places
+    own = entities.where(F.col("entity_type").isin(*PRIMITIVES)).withColumns({"start": arc["start"].when(is_line, F.col("start")), "mid": arc["mid"], "end": arc["end"].when(is_line, F.col("end"))})
+    rows = _bounded(placed_entities(places, _boxed(own.drop("radius", "start_angle", "end_angle"))))
+    placed = lambda k: at(*geometry.point(F.col("m"), F.col(f"{k}.x"), F.col(f"{k}.y")))
+    rows = rows.withColumns({"start": F.when(is_arc | is_line, placed("start")), "mid": F.when(is_arc, placed("mid")), "end": F.when(is_arc | is_line, placed("end")), "center": F.when(is_arc, placed("center"))})
+    dx, dy = F.col("start.x") - F.col("center.x"), F.col("start.y") - F.col("center.y")
     polyline = F.col("entity_type") == "Polyline"
     shown = {
-        "start": of_arc("start").when(is_line, F.col("start")), "mid": of_arc("mid"), "end": of_arc("end").when(is_line, F.col("end")), "center": of_arc("center"), "radius": F.when(is_arc, F.col("arc_.radius")),
-        "endpoints_valid": is_arc | is_line, "curve_geometry_valid": is_arc, "vertex_count": F.when(polyline, F.size("vertices")).otherwise(0), "closed": polyline & F.coalesce("closed", F.lit(False)), "bounds_valid": F.col("bounds").isNotNull(),
+        "radius": F.when(is_arc, F.sqrt(dx * dx + dy * dy)), "endpoints_valid": is_arc | is_line, "curve_geometry_valid": is_arc, "vertex_count": F.when(polyline, F.size("vertices")).otherwise(0),
+        "closed": polyline & F.coalesce("closed", F.lit(False)), "bounds_valid": F.col("bounds").isNotNull(),
     }
-    return rows.withColumns(shown).drop("m", "arc_", "start_angle", "end_angle", "vertices")
+    return rows.withColumns(shown).drop("m", "vertices")
 
 
 _COUNT = "decimal(38,0)"

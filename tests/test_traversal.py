@@ -175,3 +175,25 @@ def test_hot_nodes_are_dealt(spark):
     plain = places.join(entities, places["node"] == entities["owner"])
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect())) and got.columns == plain.columns
     assert "part_e" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_places_meet_entities_in_one_shuffle(spark):
+    """Neither side is brought together by node alone, as two spaces that hold all entities would be two tasks; corners are worked out without arrays."""
+    shown, before = {}, {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    places = spark.createDataFrame([("S", "", "", (2.0, 0.0, 0.0, -1.0, 1.0, 1.0), "S", None)] * 2, "space string, path string, names string, m struct<a:double,b:double,c:double,d:double,tx:double,ty:double>, node string, issue string")
+    box = "bounds struct<min_x:double,min_y:double,max_x:double,max_y:double>"
+    texts = spark.createDataFrame([("S", "1", "DBText", "a", 1.0, 2.0, 0.5, (1.0, 2.0, 4.0, 3.0)), ("S", "2", "DBText", "b", 1.0, 2.0, 0.5, (1.0, None, 4.0, 3.0)), ("S", "3", "DBText", "c", 1.0, 2.0, 0.5, None), ("S", "4", "DBText", "\t \r\n", 1.0, 2.0, 0.5, None), ("S", "5", "DBText", None, 1.0, 2.0, 0.5, None), ("S", "6", "DBText", "\n\u00a0", 1.0, 2.0, 0.5, None)], f"owner string, handle string, entity_type string, text string, x double, y double, rotation double, {box}")
+    point = "struct<x:double,y:double>"
+    line = spark.createDataFrame([("S", "L", "Line", (0.0, 0.0), (1.0, 1.0), None, None, None, None, None, None, (0.0, 0.0, 1.0, 1.0))], f"owner string, handle string, entity_type string, start {point}, end {point}, center {point}, radius double, start_angle double, end_angle double, vertices array<{point}>, closed boolean, {box}")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for name, rows in (("texts", traversal.oriented_texts(places, texts)), ("line", traversal.primitives(places, line))):
+            plan = rows._jdf.queryExecution().executedPlan().toString()
+            shown[name] = plan.count("Exchange hashpartitioning"), "lambda" in plan
+            got = Counter((r.handle, r.bounds and tuple(r.bounds), r.bounds_valid) for r in rows.collect())
+            assert got == ({("1", (3.0, -2.0, 9.0, -1.0), True): 2, ("2", None, False): 2, ("3", None, False): 2, ("6", None, False): 2} if name == "texts" else {("L", (1.0, 0.0, 3.0, 1.0), True): 2})
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert shown == {"texts": (2, False), "line": (2, False)}
